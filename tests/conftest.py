@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+
+from strata import session
+
+PASSENGERS = """PassengerId,Survived,Pclass,Name,Sex,Age,SibSp,Parch,Ticket,Fare,Cabin,Embarked
+1,0,3,"Rider, Mr. A",male,22,1,0,A/5 21171,7.25,,S
+2,1,1,"Rider, Mrs. B",female,38,1,0,PC 17599,71.2833,C85,C
+3,1,3,"Rider, Miss. C",female,26,0,0,STON/O2. 3101282,7.925,,S
+4,1,1,"Rider, Mrs. D",female,35,1,0,113803,-10.0,C123,S
+4,1,1,"Rider, Mrs. D",female,35,1,0,113803,-10.0,C123,S
+5,0,3,"Rider, Mr. E",male,-5,0,0,373450,8.05,,X
+6,0,3,"Rider, Mr. F",male,,0,0,330877,8.4583,,Q
+7,0,1,"Rider, Mr. G",male,54,0,0,17463,51.8625,E46,S
+8,0,3,"Rider, Master. H",male,,3,1,349909,21.075,,S
+9,1,3,"Rider, Mrs. I",female,27,0,2,347742,11.1333,,S
+"""
+
+
+@pytest.fixture(scope="session")
+def spark():
+    spark = session.build(
+        "strata-tests",
+        "local[4]",
+        {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.streaming.metricsEnabled": "false"},
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / f"root-{uuid.uuid4().hex[:6]}")
+
+
+@pytest.fixture
+def passengers(tmp_path):
+    path = tmp_path / "passengers.csv"
+    path.write_text(PASSENGERS)
+    return str(path)
