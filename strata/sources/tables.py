@@ -33,6 +33,8 @@ def read_layer(
 
 def layer_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """Scan a layer table, or None where nothing has been written yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         return read_layer(spark, path, fmt)
     except AnalysisException as error:
@@ -41,6 +43,12 @@ def layer_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def scan_files(spark: SparkSession, *paths: str, strict: bool = False) -> DataFrame:
     """Concatenate all Parquet files below ``paths`` by column name; absent columns are null.
 
@@ -49,6 +57,8 @@ def scan_files(spark: SparkSession, *paths: str, strict: bool = False) -> DataFr
     """
     frames = []
     for path in paths:
+        if not path_exists(spark, path):
+            continue
         try:
             frames.append(spark.read.option("mergeSchema", True).parquet(path))
         except AnalysisException as error:
