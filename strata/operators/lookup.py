@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions.naming import col
 
 # A lookup is broadcast only where it is counted to stay within both bounds.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -14,13 +17,20 @@ HOT_KEYS = 1_000
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure whether ``df`` stays within the broadcast bounds; reads at most ``max_rows + 1`` rows."""
-    size = F.octet_length(F.to_json(F.struct(F.col("*"))))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b"))
-    row = seen.first()
+    """Measure whether ``df`` stays within the broadcast bounds, by one distributed aggregate."""
+    size = sum((_cell_bytes(col(f.name), f.dataType) for f in df.schema), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
     return row["n"] <= max_rows and row["b"] <= max_bytes
 
 
+def _cell_bytes(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 8
+    return F.lit(8)
+
+
 def attach(
     left: DataFrame,
     right: DataFrame,
@@ -41,6 +51,7 @@ def attach(
         left.where(F.col(on).isNotNull())
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
         .orderBy(F.col("n").desc(), on)
         .limit(hot_keys)
         .select(on, F.lit(True).alias("is_hot"))

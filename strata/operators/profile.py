@@ -48,11 +48,12 @@ def column_profile(df: DataFrame, by: str | None = None) -> DataFrame:
 def last_updated(
     df: DataFrame,
     column: str = INGESTED_AT,
+    tz: str = fmt.DISPLAY_ZONE,
     pattern: str = fmt.DISPLAY_PATTERN,
     missing: str = fmt.MISSING,
 ) -> DataFrame:
     """One row with the newest load time for display, as ``last_updated``."""
-    return df.agg(_newest(df, column, pattern, missing).alias("last_updated"))
+    return df.agg(_newest(df, column, tz, pattern, missing).alias("last_updated"))
 
 
 def layer_summary(layers: Mapping[str, DataFrame], column: str = INGESTED_AT) -> DataFrame:
@@ -62,7 +63,7 @@ def layer_summary(layers: Mapping[str, DataFrame], column: str = INGESTED_AT) ->
             F.lit(name).alias("layer"),
             F.count(F.lit(1)).alias("rows"),
             F.when(F.count(F.lit(1)) > 0, len(df.columns)).otherwise(0).alias("columns"),
-            _newest(df, column, fmt.DISPLAY_PATTERN, fmt.MISSING).alias("last_updated"),
+            _newest(df, column, fmt.DISPLAY_ZONE, fmt.DISPLAY_PATTERN, fmt.MISSING).alias("last_updated"),
         )
         for name, df in layers.items()
     )
@@ -75,7 +76,7 @@ def platform_totals(layers: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _newest(df: DataFrame, column: str, pattern: str, missing: str) -> Column:
+def _newest(df: DataFrame, column: str, tz: str, pattern: str, missing: str) -> Column:
     if column not in df.columns:
         return F.lit(missing)
     newest = F.max(F.col(column))
@@ -85,7 +86,7 @@ def _newest(df: DataFrame, column: str, pattern: str, missing: str) -> Column:
         clock = fmt.utc_clock(newest)
     else:
         clock = newest.cast("timestamp_ntz")
-    return F.coalesce(fmt.display_clock(clock, pattern=pattern), F.lit(missing))
+    return F.coalesce(fmt.display_clock(clock, tz, pattern), F.lit(missing))
 
 
 def _has_order(dtype: T.DataType) -> bool:

@@ -42,5 +42,6 @@ class LayerConfig:
     partition_by: str | None = "Pclass"
     key: str | None = "PassengerId"
     fmt: str = "parquet"
-    # Gather partition values before a partitioned write; costs one shuffle.
-    rebalance: bool = True
+    # Gather partition values before a partitioned write, at the cost of a shuffle.
+    # None leaves it to the number of values found.
+    rebalance: bool | None = None

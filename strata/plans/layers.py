@@ -11,10 +11,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.naming import col
 from strata.model import INGESTED_AT, LOADED_AT, PROCESSED_AT
 from strata.operators import clean, columns, quality, schema
 from strata.plans import metrics
@@ -94,10 +95,10 @@ def bronze(
     with _recorded(spark, root, run_id, "Bronze", path) as entry:
         entry.update(source=name, input_rows=0, output_rows=0, schema=[])
         df = files.read_source(spark, source, schema_in) if isinstance(source, str) else source
-        counted, seen = metrics.observe_counts(df)
+        counted, seen = metrics.observe_counts(df, key_nulls=_key_nulls(df, config))
         tables.write_layer(columns.stamp(counted, INGESTED_AT), path, fmt=config.fmt)
-        rows = seen.get["rows"]
-        entry.update(input_rows=rows, output_rows=rows, schema=schema.fields(df))
+        rows, key_nulls = seen.get["rows"], seen.get["key_nulls"]
+        entry.update(input_rows=rows, output_rows=rows, schema=schema.fields(df), key_nulls=key_nulls)
     return entry
 
 
@@ -144,10 +145,12 @@ def gold(
             fired = [rule for rule in config.rules if rule.source in df.columns]
             part = config.partition_by if config.partition_by in df.columns else None
             out = enrich(columns.stamp(df, LOADED_AT), config)
-            if config.rebalance:
+            gather = config.rebalance
+            if gather is None:
+                gather = part is not None and tables.has_many_values(df, part)
+            if gather:
                 out = tables.spread_for_write(out, part)
-            nulls = quality.row_nulls([columns.col(config.key)] if config.key in df.columns else [])
-            out, seen = metrics.observe_counts(out, key_nulls=F.sum(nulls))
+            out, seen = metrics.observe_counts(out, key_nulls=_key_nulls(out, config))
             tables.write_layer(out, path, partition_by=part, merge_schema=True, fmt=config.fmt)
             entry.update(
                 kpis_generated=[rule.label or f"{rule.target} added" for rule in fired]
@@ -177,6 +180,11 @@ def run(
     ]
 
 
+def _key_nulls(df: DataFrame, config: LayerConfig) -> Column:
+    """Counter of null keys: in the raw layer it sees them, after filling only those of unfilled types."""
+    return F.count_if(col(config.key).isNull() if config.key in df.columns else F.lit(False))
+
+
 @contextmanager
 def _recorded(spark: SparkSession, root: str, run_id: str, layer: str, output: str) -> Iterator[dict]:
     """Record a stage whether it succeeds or fails; a failure is raised again."""

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target size of a shuffle partition after coalescing or splitting, and so of a written file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Splits a hot partition value over several writers after a REBALANCE hint.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

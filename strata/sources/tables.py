@@ -14,6 +14,8 @@ from strata.functions.naming import by_position, col
 
 # Parquet stores these as one physical integer, so a narrower one fits a wider one.
 _INT_FAMILY = (T.ByteType, T.ShortType, T.IntegerType)
+# A task that writes at most this many partition values leaves files of a useful size.
+DIRECT_VALUES = 16
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -138,13 +140,22 @@ def spread_for_write(df: DataFrame, partition_by: str | None) -> DataFrame:
 
     The hint lets adaptive execution cut a value that holds a large share of the
     rows over as many writers as its size calls for, which a hash repartition
-    on the column would not.
+    on the column would not. It costs one shuffle of the data.
     """
     if partition_by is None or partition_by not in df.columns:
         return df
     return df.hint("rebalance", col(partition_by))
 
 
+def has_many_values(df: DataFrame, column: str, limit: int = DIRECT_VALUES) -> bool:
+    """Whether a column holds more than about ``limit`` values; reads that column only.
+
+    With few values each writer can keep one file per value open and the shuffle
+    of :func:`spread_for_write` is not worth its cost.
+    """
+    return df.agg(F.approx_count_distinct(col(column))).first()[0] > limit
+
+
 def _has_no_data(error: AnalysisException) -> bool:
     condition = error.getCondition() or ""
     return any(condition.startswith(name) for name in _NO_DATA)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.operators import ledger
 from strata.plans import layers
 from strata.plans.config import LayerConfig
 
@@ -87,3 +88,28 @@ def drain(
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def run_next(
+    spark: SparkSession,
+    entries: DataFrame,
+    folder: str,
+    root: str,
+    pipeline: str,
+    run_id: str,
+    at: str,
+    config: LayerConfig = layers.DEFAULT,
+) -> tuple[DataFrame, list[dict]]:
+    """Refine the next file of a pipeline's ledger: ``(ledger afterwards, records)``.
+
+    With nothing pending the ledger comes back as it is, with no records. To keep
+    the entry of a failing run reserved, store :func:`ledger.reserve` before the
+    call: the run then finds the entry it holds.
+    """
+    entry = ledger.next_entry(entries, pipeline, run_id).select("file_name").first()
+    if entry is None:
+        return entries, []
+    reserved = ledger.reserve(entries, pipeline, run_id, at)
+    source = f"{folder.rstrip('/')}/{entry['file_name']}"
+    records = layers.run(spark, source, root, run_id, config)
+    return ledger.mark_processed(reserved, run_id, at), records

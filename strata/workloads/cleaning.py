@@ -173,6 +173,12 @@ def last_updated(spark, sf_dir):
     return profile.last_updated(table(spark, sf_dir, "events").withColumnRenamed("ts", "_ingest_timestamp"))
 
 
+@query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS last_updated FROM events")
+def last_updated_short(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", "_ingest_timestamp")
+    return profile.last_updated(events, tz="UTC", pattern="yyyy-MM-dd HH:mm", missing="N/A")
+
+
 @query(f"""
 SELECT 'Bronze' AS layer, count(*) AS rows, 6 AS columns, {_SHOWN.format('ts')} AS last_updated FROM events
 UNION ALL SELECT 'Silver', count(*), 6, {_SHOWN.format('o_orderdate')} FROM orders

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata import incremental, layers, runs, tables
+from strata import incremental, layers, metrics, runs, tables
 from strata.plans.config import FlagRule, LayerConfig
 from strata.session import scratch_path
 from strata.workloads.inputs import DIRTY, derived, plain
@@ -76,7 +76,7 @@ SELECT 'Bronze' AS layer, 'bronze_job' AS job, 'orders.csv' AS source, 'Success'
        n_in AS input_rows, n_in AS output_rows, CAST(NULL AS BIGINT) AS rows_before, CAST(NULL AS BIGINT) AS rows_after,
        CAST(NULL AS BIGINT) AS duplicates_removed, CAST(NULL AS BIGINT) AS nulls_filled,
        CAST(NULL AS BIGINT) AS nulls_filled_exact, CAST(NULL AS INT) AS aggregation_count,
-       CAST(NULL AS BIGINT) AS key_nulls, CAST(NULL AS VARCHAR) AS steps FROM counts
+       CAST(0 AS BIGINT) AS key_nulls, CAST(NULL AS VARCHAR) AS steps FROM counts
 UNION ALL
 SELECT 'Silver', 'silver_job', NULL, 'Success', NULL, NULL, n_in, n_out, n_in - n_out, n_null, n_fill, NULL, NULL,
        'Remove index columns, Deduplicate rows, Fill null values, Add _processed_at timestamp' FROM counts
@@ -166,3 +166,62 @@ def stream_drain(spark, sf_dir):
             max_files=max_files,
         )
     return tables.read_layer(spark, layers.layer_path(f"{root}/layers", "gold")).drop(*STAMPS)
+
+
+_QUEUE = """
+SELECT CAST(row_number() OVER (ORDER BY o_orderpriority) AS BIGINT) AS position,
+       concat('o_orderpriority=', o_orderpriority) AS file_name, 'queued' AS status, 'scheduled' AS target_dag,
+       CAST(min(o_orderdate) AS STRING) AS queued_at, CAST(NULL AS STRING) AS reserved_run_id,
+       CAST(NULL AS STRING) AS reserved_at, CAST(NULL AS STRING) AS processed_run_id,
+       CAST(NULL AS STRING) AS processed_at
+FROM {orders} GROUP BY o_orderpriority
+"""
+
+
+def _two_scheduled_runs(spark, sf_dir):
+    """Queue the orders of each priority as a file of their own and run the first two."""
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    root = scratch_path(spark, "queue")
+    orders.write.partitionBy("o_orderpriority").option("header", True).csv(f"{root}/in")
+    derived(spark, sf_dir, _QUEUE).write.parquet(f"{root}/ledger/queued")
+    entries = spark.read.parquet(f"{root}/ledger/queued")
+    for run_id in ("scheduled__1", "scheduled__2"):
+        entries, _ = incremental.run_next(
+            spark, entries, f"{root}/in", f"{root}/layers", "scheduled", run_id, "2026-07-02T05:00:00", _STREAM_CONFIG
+        )
+        entries.write.parquet(f"{root}/ledger/{run_id}")
+        entries = spark.read.parquet(f"{root}/ledger/{run_id}")
+    return entries, f"{root}/layers"
+
+
+@query(f"""
+SELECT position, file_name, CASE WHEN position <= 2 THEN 'processed' ELSE status END AS status, target_dag, queued_at,
+       CASE WHEN position <= 2 THEN 'scheduled__' || position END AS reserved_run_id,
+       CASE WHEN position <= 2 THEN '2026-07-02T05:00:00' END AS reserved_at,
+       CASE WHEN position <= 2 THEN 'scheduled__' || position END AS processed_run_id,
+       CASE WHEN position <= 2 THEN '2026-07-02T05:00:00' END AS processed_at
+FROM {plain(_QUEUE)}
+""")
+def scheduled_ledger(spark, sf_dir):
+    return _two_scheduled_runs(spark, sf_dir)[0]
+
+
+@query("""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH'
+""")
+def scheduled_layer(spark, sf_dir):
+    root = _two_scheduled_runs(spark, sf_dir)[1]
+    silver = tables.read_layer(spark, layers.layer_path(root, "silver")).drop(*STAMPS)
+    return silver.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+
+
+@query("""
+SELECT count(*) AS rows, count(*) FILTER (WHERE l_returnflag = 'R') AS returned FROM lineitem
+""")
+def observed_counts(spark, sf_dir):
+    root = scratch_path(spark, "observed")
+    returned = F.count_if(F.col("l_returnflag") == "R")
+    df, seen = metrics.observe_counts(table(spark, sf_dir, "lineitem"), returned=returned)
+    tables.write_layer(df, root)
+    got = seen.get
+    return spark.createDataFrame([(got["rows"], got["returned"])], "rows bigint, returned bigint")

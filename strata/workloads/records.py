@@ -348,12 +348,18 @@ _TEXT_TIME = """CASE event_type WHEN 'click' THEN CAST(ts AS STRING)
 @query("""
 SELECT event_id, CASE event_type WHEN 'error' THEN concat('no time ', event_id) WHEN 'signup' THEN 'Not available'
     WHEN 'purchase' THEN strftime(ts + INTERVAL 210 MINUTE, '%d %b %Y, %I:%M:%S %p') || ' IST'
-    ELSE strftime(ts + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p') || ' IST' END AS shown
+    ELSE strftime(ts + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p') || ' IST' END AS shown,
+    CASE event_type WHEN 'error' THEN concat('no time ', event_id) WHEN 'signup' THEN 'Not available'
+    WHEN 'purchase' THEN strftime(ts + INTERVAL 210 MINUTE, '%d %b %Y, %I:%M:%S %p')
+    ELSE strftime(ts + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p') END AS without_zone
 FROM events
 """)
 def fmt_ts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.expr(_TEXT_TIME).alias("text"))
-    return events.select("event_id", fmt.display_ts(F.col("text")).alias("shown"))
+    text = F.col("text")
+    return events.select(
+        "event_id", fmt.display_ts(text).alias("shown"), fmt.display_ts(text, suffix="").alias("without_zone")
+    )
 
 
 @query("""
