@@ -41,6 +41,7 @@ RECORD_KEYS = (
 # Texts for a run without a known file.
 QUEUED_FILE = "Queued file"
 
+_RECORD_FILE = r"/run_[^/]+/(bronze|silver|gold)\.json$|/run_id=[^/]+/layer=[^/]+/[^/]+\.json$"
 _HISTORY = "start_time string, layer string, status string, duration string, _corrupt_record string"
 
 
@@ -57,13 +58,15 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract(path, "/run_([^/]+)/[^/]+$", 1)
     )
     layer = F.coalesce(F.col("layer"), F.nullif(F.regexp_extract(path, "/layer=([^/]+)/", 1), F.lit("")))
+    # The root is listed without a pattern, as a pattern does not match names with a colon;
+    # the condition on the path then leaves all other files unread.
     records = (
         spark.read.schema(body)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(f"{root.rstrip('/')}/run_*")
+        .json(root)
+        .where(F.col("_metadata.file_path").rlike(_RECORD_FILE))
     )
     return records.withColumns({"run_id": run_id, "layer": layer}).select(*METRICS.names)
 

@@ -63,7 +63,7 @@ def scan_files(spark: SparkSession, *paths: str, strict: bool = False) -> DataFr
             continue
         try:
             frames.append(spark.read.option("mergeSchema", True).parquet(path))
-        except AnalysisException as error:
+        except Exception as error:
             if strict and not _has_no_data(error):
                 raise
     if not frames:
@@ -123,6 +123,7 @@ def write_layer(
     if partition_by not in df.columns:
         partition_by = None
     if fmt == "parquet":
+        _check_not_read(df, path)
         existing = layer_or_none(spark, path, fmt)
         if existing is not None and existing.columns:
             df = conform(df, existing.schema, merge_schema, loose=[partition_by] if partition_by else [])
@@ -135,6 +136,18 @@ def write_layer(
     return df.schema
 
 
+def _check_not_read(df: DataFrame, path: str) -> None:
+    """An overwrite deletes first: refuse it where the data still has to be read from there."""
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        return
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder)
+    prefix = folder.toUri().toString().rstrip("/") + "/"
+    if any(name.startswith(prefix) for name in df.inputFiles()):
+        raise ValueError(f"{path} cannot be overwritten with data read from it")
+
+
 def spread_for_write(df: DataFrame, partition_by: str | None) -> DataFrame:
     """Gather each partition value into few files, splitting hot values at run time.
 
@@ -156,8 +169,8 @@ def has_many_values(df: DataFrame, column: str, limit: int = DIRECT_VALUES) -> b
     return df.agg(F.approx_count_distinct(col(column))).first()[0] > limit
 
 
-def _has_no_data(error: AnalysisException) -> bool:
-    condition = error.getCondition() or ""
+def _has_no_data(error: Exception) -> bool:
+    condition = (error.getCondition() or "") if isinstance(error, AnalysisException) else ""
     return any(condition.startswith(name) for name in _NO_DATA)
 
 

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import pytest
+
+from strata import lineage
+from strata.model import METRICS
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    rows = [
+        {"run_id": "ok", "layer": "Bronze", "status": "Success", "output_rows": 10, "duration": "1.00 sec",
+         "start_time": "t0", "end_time": "t1", "source": "a.csv"},
+        {"run_id": "ok", "layer": "Silver", "status": "Success", "rows_after": 9, "duplicates_removed": 1,
+         "nulls_filled": 8, "duration": "2.00 sec", "start_time": "t2", "end_time": "t3"},
+        {"run_id": "ok", "layer": "Gold", "status": "Success", "aggregation_count": 1, "start_time": "t4"},
+        {"run_id": "bad", "layer": "Bronze", "status": "FAILED", "output_rows": 0, "exception": "boom", "end_time": "t1"},
+        {"run_id": "bad", "layer": "Silver", "status": "Failed", "rows_after": 0},
+        {"run_id": "odd", "layer": "Silver", "output_rows": 0, "rows_after": 0, "aggregation_count": 3},
+        {"run_id": "odd", "layer": "Gold", "status": "FAILED"},
+        {"run_id": "twice", "layer": "Bronze", "status": "FAILED", "end_time": "t1"},
+        {"run_id": "twice", "layer": "Bronze", "status": "Success", "end_time": "t2"},
+    ]
+    return spark.createDataFrame([tuple(r.get(n) for n in METRICS.names) for r in rows], METRICS)
+
+
+def by_run(df):
+    return {r["run_id"]: r.asDict() for r in df.collect()}
+
+
+def test_status_and_class(records):
+    got = by_run(lineage.status(records))
+    assert [got["ok"][f"{n}_class"] for n in ("bronze", "silver", "gold")] == ["success"] * 3
+    assert (got["bad"]["bronze_status"], got["bad"]["bronze_class"]) == ("FAILED", "failed")
+    assert (got["bad"]["silver_status"], got["bad"]["silver_class"]) == ("Failed", "pending")
+    assert (got["bad"]["gold_status"], got["bad"]["gold_class"]) == ("Pending", "pending")
+    assert (got["odd"]["silver_status"], got["odd"]["silver_class"]) == ("Unknown", "pending")
+    assert got["twice"]["bronze_status"] == "Success"
+
+
+def test_summary_rows_fall_through_zero(records):
+    got = {(r["run_id"], r["layer"]): r["rows"] for r in lineage.summary(records).collect()}
+    assert got["ok", "Bronze"] == 10 and got["ok", "Silver"] == 9 and got["ok", "Gold"] == 1
+    assert got["odd", "Silver"] == 3 and got["bad", "Silver"] is None
+
+
+def test_flow(records):
+    got = by_run(lineage.flow(records))
+    assert got["ok"]["gold_rows"] == 9 and got["ok"]["gold_time"] == "N/A"
+    assert (got["ok"]["source"], got["ok"]["duplicates_removed"], got["ok"]["nulls_filled"]) == ("a.csv", 1, 8)
+    assert got["odd"]["gold_rows"] == 0 and got["odd"]["source"] == "input_data.csv"
+    assert got["odd"]["silver_status"] == got["odd"]["bronze_status"] == "Pending"
+
+
+def test_timeline(records):
+    rows = lineage.timeline(records).where("run_id = 'ok'").orderBy("step").collect()
+    assert [r["line"] for r in rows] == [
+        "CSV Uploaded -> Run: run_ok",
+        "Bronze Started: t0",
+        "Bronze Completed: t1",
+        "Silver Started: t2",
+        "Silver Completed: t3",
+        "Gold Started: t4",
+        "Gold Completed: None",
+    ]
+    assert lineage.timeline(records).where("run_id = 'odd'").count() == 5
+
+
+def test_failures(records):
+    got = {(r["run_id"], r["message"]) for r in lineage.failures(records).collect()}
+    assert got == {
+        ("bad", "Bronze Layer FAILED: boom"),
+        ("odd", "Gold Layer FAILED: Unknown Error"),
+        ("twice", "Bronze Layer FAILED: Unknown Error"),
+    }
