@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata import session
 from strata.functions.naming import col
 from strata.model import INGESTED_AT, LOADED_AT, PROCESSED_AT
 from strata.operators import clean, columns, quality, schema
@@ -111,21 +112,25 @@ def silver(
         entry.update(
             rows_before=0, rows_after=0, duplicates_removed=0, nulls_filled=0, nulls_filled_exact=0, transformations=[]
         )
-        df = tables.read_layer(spark, layer_path(root, "bronze", batch), config.fmt)
+        source = layer_path(root, "bronze", batch)
+        df = tables.read_layer(spark, source, config.fmt)
         if df.isEmpty():
             entry["skipped"] = True
         else:
             refined, seen = refine_counted(df, config)
-            stamped = columns.stamp(refined, PROCESSED_AT)
-            tables.write_layer(stamped, path, fmt=config.fmt)
-            got = seen.get
+            with session.shuffle_sized_for(spark, source):
+                try:
+                    tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
+                except ValueError:
+                    # Refused before any pass: the record still tells what the input held.
+                    refined.write.format("noop").mode("overwrite").save()
+                    entry.update(_figures(seen.get))
+                    raise
+            figures = _figures(seen.get)
             dropped = len(refined.columns) < len(df.columns)
             entry.update(
-                rows_before=got["rows_before"],
-                rows_after=got["rows"],
-                duplicates_removed=got["rows_before"] - got["rows"],
-                nulls_filled=got["nulls"],
-                nulls_filled_exact=got["gaps"],
+                figures,
+                rows_after=figures["rows_before"] - figures["duplicates_removed"],
                 transformations=[STEP_ARTIFACTS] * dropped + [STEP_DEDUPE, STEP_FILL, STEP_STAMP],
             )
     return entry
@@ -138,7 +143,8 @@ def gold(
     path = layer_path(root, "gold", batch)
     with _recorded(spark, root, run_id, "Gold", path) as entry:
         entry.update(kpis_generated=[], aggregation_count=0, output_datasets=[])
-        df = tables.layer_or_none(spark, layer_path(root, "silver", batch), config.fmt)
+        source = layer_path(root, "silver", batch)
+        df = tables.layer_or_none(spark, source, config.fmt)
         if df is None or df.isEmpty():
             entry["skipped"] = True
         else:
@@ -151,11 +157,14 @@ def gold(
             if gather:
                 out = tables.spread_for_write(out, part)
             out, seen = metrics.observe_counts(out, key_nulls=_key_nulls(out, config))
-            tables.write_layer(out, path, partition_by=part, merge_schema=True, fmt=config.fmt)
             entry.update(
                 kpis_generated=[rule.label or f"{rule.target} added" for rule in fired]
                 + ([f"Partitioned by {part}"] if part else []),
                 aggregation_count=len(fired),
+            )
+            with session.shuffle_sized_for(spark, source):
+                tables.write_layer(out, path, partition_by=part, merge_schema=True, fmt=config.fmt)
+            entry.update(
                 output_datasets=[f"gold_partitioned_by_{part}" if part else "gold_unpartitioned"],
                 key_nulls=seen.get["key_nulls"],
             )
@@ -180,6 +189,15 @@ def run(
     ]
 
 
+def _figures(seen: dict) -> dict:
+    return {
+        "rows_before": seen["rows_before"],
+        "duplicates_removed": seen["rows_before"] - seen["rows"],
+        "nulls_filled": seen["nulls"],
+        "nulls_filled_exact": seen["gaps"],
+    }
+
+
 def _key_nulls(df: DataFrame, config: LayerConfig) -> Column:
     """Counter of null keys: in the raw layer it sees them, after filling only those of unfilled types."""
     return F.count_if(col(config.key).isNull() if config.key in df.columns else F.lit(False))
@@ -195,6 +213,7 @@ def _recorded(spark: SparkSession, root: str, run_id: str, layer: str, output: s
         "output": output,
         "start_time": _now(),
         "status": "Success",
+        "skipped": False,
     }
     try:
         yield entry

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Bytes of stored data per shuffle partition: about 1 GiB once decompressed into rows.
+STORED_BYTES_PER_PARTITION = 256 * 1024 * 1024
+# Above this the shuffle's own bookkeeping costs more than larger partitions that spill.
+MAX_SHUFFLE_PARTITIONS = 32_768
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 DEFAULTS = {
     # Naive text times are UTC everywhere in the run records.
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +51,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="strata-")
     return f"{base.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+@contextmanager
+def shuffle_sized_for(spark: SparkSession, path: str) -> Iterator[int]:
+    """Raise the number of shuffle partitions to what the data below ``path`` needs.
+
+    The setting is never lowered, and adaptive execution merges what turns out
+    small. It is put back afterwards.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    needed = min(-(-stored_bytes(spark, path) // STORED_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(max(int(before), needed)))
+    try:
+        yield needed
+    finally:
+        spark.conf.set(_PARTITIONS, before)

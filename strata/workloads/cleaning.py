@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata import clean, columns, preview, profile, quality, schema
+from strata import clean, columns, preview, profile, quality, schema, tables
+from strata.session import scratch_path
 from strata.workloads.inputs import DIRTY, derived, plain
 from strata.workloads.registry import query, table
 
@@ -164,7 +165,7 @@ def _layers(spark, sf_dir):
         "Bronze": events.withColumnRenamed("ts", "_ingest_timestamp"),
         "Silver": orders.withColumnRenamed("o_orderdate", "_ingest_timestamp"),
         "Gold": table(spark, sf_dir, "lineitem"),
-        "Empty": orders.where("o_orderkey < 0"),
+        "Empty": tables.scan_files(spark, scratch_path(spark, "absent")),
     }
 
 
@@ -183,7 +184,7 @@ def last_updated_short(spark, sf_dir):
 SELECT 'Bronze' AS layer, count(*) AS rows, 6 AS columns, {_SHOWN.format('ts')} AS last_updated FROM events
 UNION ALL SELECT 'Silver', count(*), 6, {_SHOWN.format('o_orderdate')} FROM orders
 UNION ALL SELECT 'Gold', count(*), 11, 'Not available' FROM lineitem
-UNION ALL SELECT 'Empty', count(*), 0, 'Not available' FROM orders WHERE o_orderkey < 0
+UNION ALL SELECT 'Empty', 0, 0, 'Not available'
 """)
 def layer_summary(spark, sf_dir):
     return profile.layer_summary(_layers(spark, sf_dir))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from strata import layers, profile, runs, tables
+from strata import layers, profile, runs, session, tables
 from strata.plans.config import LayerConfig
 
 
@@ -98,13 +98,45 @@ def test_source_without_rule_columns_passes_through(spark, root, tmp_path):
 
 def test_index_columns_go_before_dedupe(spark, root, tmp_path):
     path = tmp_path / "indexed.csv"
-    path.write_text(",Unnamed: 0,index,Index,a\n0,0,0,5,x\n1,1,1,5,x\n")
+    path.write_text(",Unnamed: 0,index,a\n0,0,0,x\n1,1,1,x\n")
     layers.bronze(spark, str(path), root, "r1")
     layers.silver(spark, root, "r1")
     silver = tables.read_layer(spark, f"{root}/silver")
     got = records(spark, root)["Silver"]
-    assert got["duplicates_removed"] in (0, 1)
-    assert "_c0" not in silver.columns and "Unnamed: 0" not in silver.columns
+    assert got["duplicates_removed"] == 1
+    assert silver.columns == ["a", "_ingest_timestamp", "_processed_at"]
+    assert got["transformations"][0] == "Remove index columns"
+
+
+def test_refused_silver_still_tells_its_input(spark, root, passengers):
+    layers.bronze(spark, passengers, root, "r1")
+    spark.range(1).write.parquet(f"{root}/silver")
+    with pytest.raises(ValueError, match="not in the target"):
+        layers.silver(spark, root, "r1")
+    got = records(spark, root)["Silver"]
+    assert (got["status"], got["rows_before"], got["rows_after"]) == ("FAILED", 10, 0)
+    assert (got["duplicates_removed"], got["nulls_filled"]) == (1, 8)
+
+
+def test_failed_gold_keeps_its_rule_count(spark, root, passengers):
+    layers.run(spark, passengers, root, "r1")
+    spark.range(1).selectExpr("'x' AS Age").write.mode("overwrite").parquet(f"{root}/gold")
+    with pytest.raises(ValueError, match="does not fit"):
+        layers.gold(spark, root, "r2")
+    got = records(spark, root, "r2")["Gold"]
+    assert (got["status"], got["aggregation_count"], got["output_datasets"]) == ("FAILED", 1, [])
+
+
+def test_shuffle_grows_with_the_stored_data(spark, root, passengers, monkeypatch):
+    layers.bronze(spark, passengers, root, "r1")
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    with session.shuffle_sized_for(spark, f"{root}/bronze"):
+        assert spark.conf.get(setting) == before
+    monkeypatch.setattr(session, "STORED_BYTES_PER_PARTITION", 100)
+    with session.shuffle_sized_for(spark, f"{root}/bronze") as needed:
+        assert int(spark.conf.get(setting)) == needed > int(before)
+    assert spark.conf.get(setting) == before
 
 
 def test_bronze_enforces_schema_and_gold_evolves(spark, root, tmp_path):
