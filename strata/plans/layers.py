@@ -208,6 +208,7 @@ def _recorded(spark: SparkSession, root: str, run_id: str, layer: str, output: s
     """Record a stage whether it succeeds or fails; a failure is raised again."""
     began = time.monotonic()
     entry = {
+        "layer": layer,
         "job": f"{layer.lower()}_job",
         "app_name": f"{layer}Job",
         "output": output,
@@ -222,7 +223,7 @@ def _recorded(spark: SparkSession, root: str, run_id: str, layer: str, output: s
         raise
     finally:
         entry.update(end_time=_now(), duration=f"{time.monotonic() - began:.2f} sec")
-        metrics.record(spark, metrics_path(root), run_id, layer, **entry)
+        metrics.record(spark, metrics_path(root), run_id, **entry)
 
 
 def _now() -> str:
