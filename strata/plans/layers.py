@@ -118,7 +118,7 @@ def silver(
             entry["skipped"] = True
         else:
             refined, seen = refine_counted(df, config)
-            with session.shuffle_sized_for(spark, source):
+            with session.settings(spark, session.shuffle_sized_for(spark, source)):
                 try:
                     tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
                 except ValueError:
@@ -156,13 +156,17 @@ def gold(
                 gather = part is not None and tables.has_many_values(df, part)
             if gather:
                 out = tables.spread_for_write(out, part)
+                writing = session.shuffle_sized_for(spark, source)
+            else:
+                # A writer per value stays open, so rows need no sort by value either.
+                writing = {"spark.sql.maxConcurrentOutputFileWriters": tables.DIRECT_VALUES}
             out, seen = metrics.observe_counts(out, key_nulls=_key_nulls(out, config))
             entry.update(
                 kpis_generated=[rule.label or f"{rule.target} added" for rule in fired]
                 + ([f"Partitioned by {part}"] if part else []),
                 aggregation_count=len(fired),
             )
-            with session.shuffle_sized_for(spark, source):
+            with session.settings(spark, writing):
                 tables.write_layer(out, path, partition_by=part, merge_schema=True, fmt=config.fmt)
             entry.update(
                 output_datasets=[f"gold_partitioned_by_{part}" if part else "gold_unpartitioned"],

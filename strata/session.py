@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 STORED_BYTES_PER_PARTITION = 256 * 1024 * 1024
 # Above this the shuffle's own bookkeeping costs more than larger partitions that spill.
 MAX_SHUFFLE_PARTITIONS = 32_768
-_PARTITIONS = "spark.sql.shuffle.partitions"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 DEFAULTS = {
     # Naive text times are UTC everywhere in the run records.
@@ -60,16 +60,22 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 @contextmanager
-def shuffle_sized_for(spark: SparkSession, path: str) -> Iterator[int]:
-    """Raise the number of shuffle partitions to what the data below ``path`` needs.
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Use some SQL settings for a while and put the former ones back."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
 
-    The setting is never lowered, and adaptive execution merges what turns out
-    small. It is put back afterwards.
+def shuffle_sized_for(spark: SparkSession, path: str) -> dict[str, object]:
+    """Setting that raises the number of shuffle partitions to what the data below ``path`` needs.
+
+    The number is never lowered; adaptive execution merges what turns out small.
     """
-    before = spark.conf.get(_PARTITIONS)
     needed = min(-(-stored_bytes(spark, path) // STORED_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set(_PARTITIONS, str(max(int(before), needed)))
-    try:
-        yield needed
-    finally:
-        spark.conf.set(_PARTITIONS, before)
+    return {SHUFFLE_PARTITIONS: max(int(spark.conf.get(SHUFFLE_PARTITIONS)), needed)}

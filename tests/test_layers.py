@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from strata import __main__ as cli
 from strata import layers, profile, runs, session, tables
 from strata.plans.config import LayerConfig
 
@@ -131,14 +132,35 @@ def test_shuffle_grows_with_the_stored_data(spark, root, passengers, monkeypatch
     layers.bronze(spark, passengers, root, "r1")
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    with session.shuffle_sized_for(spark, f"{root}/bronze"):
-        assert spark.conf.get(setting) == before
+    assert session.shuffle_sized_for(spark, f"{root}/bronze") == {setting: int(before)}
     monkeypatch.setattr(session, "STORED_BYTES_PER_PARTITION", 100)
-    with session.shuffle_sized_for(spark, f"{root}/bronze") as needed:
-        assert int(spark.conf.get(setting)) == needed > int(before)
+    sized = session.shuffle_sized_for(spark, f"{root}/bronze")
+    assert sized[setting] > int(before)
+    with session.settings(spark, sized):
+        assert int(spark.conf.get(setting)) == sized[setting]
     assert spark.conf.get(setting) == before
 
 
+def test_gathered_gold_equals_the_direct_one(spark, root, passengers):
+    layers.bronze(spark, passengers, root, "r1")
+    layers.silver(spark, root, "r1")
+    results = []
+    for rebalance in (True, False, None):
+        layers.gold(spark, root, "r1", LayerConfig(rebalance=rebalance))
+        gold = tables.read_layer(spark, f"{root}/gold").drop("gold_loaded_at")
+        results.append(sorted(map(repr, gold.collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 9
+
+
+def test_command_line(spark, root, passengers, capsys):
+    cli.main(["run", "--root", root, "--source", passengers, "--run-id", "r1"])
+    for job in (["bronze", "--source", passengers], ["silver"], ["gold"], ["peek"], ["report"]):
+        cli.main([*job, "--root", root, "--run-id", "r1"])
+    assert "[GOLD LAYER]\n - layer: Gold" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.main(["bronze", "--root", root])
+
+
 def test_bronze_enforces_schema_and_gold_evolves(spark, root, tmp_path):
     first, second = tmp_path / "a.csv", tmp_path / "b.csv"
     first.write_text("a,b\n1,x\n")
