@@ -12,7 +12,7 @@ DISPLAY_PATTERN = "dd MMM yyyy, hh:mm:ss a"
 RECORD_PATTERN = "yyyy-MM-dd HH:mm:ss"
 MISSING = "Not available"
 
-_ZONED = r"\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
+_ZONED = r"\d{1,2}:\d{2}.*([A-Za-z]|[+-]\d{2}:?\d{2})$"
 
 
 def utc_clock(text: Column) -> Column:

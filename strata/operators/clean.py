@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.naming import by_position
+from strata.operators import lookup
+from strata.session import scratch_path
 
 # Column types whose nulls are filled, and with what.
 FILL_STRING = "unknown"
@@ -38,6 +40,29 @@ def count_copies(df: DataFrame) -> DataFrame:
     return frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def count_copies_screened(df: DataFrame) -> DataFrame:
+    """:func:`count_copies` for large inputs in which few different rows repeat.
+
+    A first pass shuffles row hashes only and keeps those seen more than once. If
+    they fit a broadcast, rows with any other hash are known to be single and stay
+    where they are, in the order and clustering of the source; only the rest is
+    compared in full. Unequal rows that share a hash are told apart there.
+    """
+    _check_groupable(df)
+    spark = df.sparkSession
+    keyed = by_position(df).withColumn("hash", F.xxhash64(*[f"c{i}" for i in range(len(df.columns))]))
+    path = scratch_path(spark, "repeated")
+    counts = keyed.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    counts.where(F.col("n") > 1).select("hash").write.parquet(path)
+    repeated = spark.read.parquet(path)
+    if not lookup.fits_broadcast(repeated):
+        return count_copies(df)
+    repeated = F.broadcast(repeated)
+    single = keyed.join(repeated, "hash", "left_anti").drop("hash").withColumn("copies", F.lit(1).cast("bigint"))
+    others = keyed.join(repeated, "hash", "left_semi").drop("hash")
+    return single.unionByName(others.groupBy(*others.columns).agg(F.count(F.lit(1)).alias("copies")))
+
+
 def dedupe_stats(df: DataFrame) -> DataFrame:
     """One row: ``rows_before``, ``rows_after``, ``duplicates_removed``."""
     before = F.coalesce(F.sum("copies"), F.lit(0))

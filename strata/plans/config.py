@@ -42,6 +42,8 @@ class LayerConfig:
     partition_by: str | None = "Pclass"
     key: str | None = "PassengerId"
     fmt: str = "parquet"
+    # Find repeated rows by their hashes first; for large inputs in which few different rows repeat.
+    screen_duplicates: bool = False
     # Gather partition values before a partitioned write, at the cost of a shuffle.
     # None leaves it to the number of values found.
     rebalance: bool | None = None

@@ -55,7 +55,7 @@ def refine_counted(df: DataFrame, config: LayerConfig = DEFAULT):
     null cells and filled cells are all counted in the stage after the one shuffle.
     """
     df = columns.drop_artifacts(df, config.artifacts)
-    distinct = clean.count_copies(df)
+    distinct = clean.count_copies_screened(df) if config.screen_duplicates else clean.count_copies(df)
     cells = [(F.col(f"c{i}"), field.dataType) for i, field in enumerate(df.schema)]
     gaps = sum(
         (clean.is_gap(cell, dtype).cast("int") for cell, dtype in cells if clean.is_filled(dtype)), F.lit(0)
@@ -117,8 +117,8 @@ def silver(
         if df.isEmpty():
             entry["skipped"] = True
         else:
-            refined, seen = refine_counted(df, config)
             with session.settings(spark, session.shuffle_sized_for(spark, source)):
+                refined, seen = refine_counted(df, config)
                 try:
                     tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
                 except ValueError:

@@ -32,6 +32,14 @@ def dedupe(spark, sf_dir):
     return clean.dedupe(derived(spark, sf_dir, DIRTY))
 
 
+@query(f"""
+SELECT o_orderkey AS c0, p AS c1, t AS c2, s AS c3, d AS c4, count(*) AS copies FROM {_DIRTY}
+GROUP BY o_orderkey, p, t, s, d
+""")
+def dedupe_screened(spark, sf_dir):
+    return clean.count_copies_screened(derived(spark, sf_dir, DIRTY))
+
+
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax FROM lineitem")
 def dedupe_hot(spark, sf_dir):
     cols = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"]

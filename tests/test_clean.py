@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from strata import clean, quality
+from strata import clean, lookup, quality
 from strata.plans.layers import refine, refine_counted
 from strata.plans.config import LayerConfig
 
@@ -63,6 +63,28 @@ def test_equal_rows(spark):
     assert sorted(r["copies"] for r in clean.count_copies(df).collect()) == [1, 2, 2]
 
 
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_screened_copies_equal_the_plain_ones(spark, monkeypatch, max_rows):
+    rows = [(None, 1, NAN), (1, None, NAN), (None, 1, NAN), (2, 2, 0.0), (2, 2, -0.0), (3, 3, 1.0), (3, 3, None)]
+    df = spark.createDataFrame(rows * 3 + [(9, 9, 9.0)], "a int, `b.c` int, d double")
+    fits = lookup.fits_broadcast
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda frame: fits(frame, max_rows))
+    want = sorted(repr([str(v) for v in r]).replace("-0.0", "0.0") for r in clean.count_copies(df).collect())
+    got = sorted(repr([str(v) for v in r]).replace("-0.0", "0.0") for r in clean.count_copies_screened(df).collect())
+    assert got == want and len(got) == 6
+
+
+def test_screened_stage_counts_the_same(spark):
+    df = spark.createDataFrame([(i % 7, None, "x") for i in range(50)] + [(100 + i, 1.0, None) for i in range(50)], "a int, b double, c string")
+    figures, kept = [], []
+    for screen in (False, True):
+        out, seen = refine_counted(df, LayerConfig(screen_duplicates=screen))
+        kept.append(sorted(map(repr, out.collect())))
+        figures.append(seen.get)
+    assert kept[0] == kept[1] and len(kept[0]) == 57
+    assert figures[0] == figures[1] and figures[0]["rows_before"] == 100
+
+
 def test_stats_of_no_rows(spark):
     df = spark.createDataFrame([], "a int")
     assert tuple(clean.dedupe_stats(df).first()) == (0, 0, 0)

@@ -199,3 +199,12 @@ def test_gold_partition_filter_prunes(spark, root, passengers):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Pclass" in plan
     assert df.count() == 6
+
+
+def test_frames_without_rows(spark, root):
+    layers.run(spark, spark.createDataFrame([], "a int, b string"), root, "r1")
+    got = records(spark, root)
+    assert got["Bronze"]["output_rows"] == 0 and got["Bronze"]["source"] == "stream"
+    assert got["Silver"]["skipped"] and got["Gold"]["skipped"]
+    layers.bronze(spark, spark.range(5).where("id > 9"), f"{root}-2", "r1")
+    assert records(spark, f"{root}-2")["Bronze"]["output_rows"] == 0

@@ -15,6 +15,8 @@ from strata import fmt, profile
         ("2026-07-01T16:05:00Z", "01 Jul 2026, 09:35:00 PM IST"),
         ("2026-07-01 16:05:00", "01 Jul 2026, 09:35:00 PM IST"),
         ("2026-07-01T21:35:00+05:30", "01 Jul 2026, 09:35:00 PM IST"),
+        ("2026-07-01 16:05:00 UTC", "01 Jul 2026, 09:35:00 PM IST"),
+        ("2026-07-01 16:05:00 Asia/Tokyo", "01 Jul 2026, 12:35:00 PM IST"),
         ("2026-07-01", "01 Jul 2026, 05:30:00 AM IST"),
         ("2025-12-31T18:30:00+00:00", "01 Jan 2026, 12:00:00 AM IST"),
         ("soon", "soon"),
