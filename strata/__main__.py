@@ -1,21 +1,21 @@
-"""Command line: ``python -m strata {run,bronze,silver,gold,peek,report} …``."""
+"""Command line: ``python -m strata {run,bronze,silver,gold,drain,peek,report} …``."""
 
 from __future__ import annotations
 
 import argparse
 
-from strata import layers, preview, quality, report, runs, session, tables
+from strata import incremental, layers, preview, quality, report, runs, session, tables
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="strata")
-    parser.add_argument("job", choices=["run", "bronze", "silver", "gold", "peek", "report"])
+    parser.add_argument("job", choices=["run", "bronze", "silver", "gold", "drain", "peek", "report"])
     parser.add_argument("--root", required=True, help="folder of the layer tables")
-    parser.add_argument("--source", help="CSV or JSON input of run and bronze")
+    parser.add_argument("--source", help="CSV or JSON input of run and bronze; folder of CSV files of drain")
     parser.add_argument("--run-id", default="unknown_run")
     parser.add_argument("--layer", default="silver", help="layer to peek at")
     args = parser.parse_args(argv)
-    if args.job in ("run", "bronze") and not args.source:
+    if args.job in ("run", "bronze", "drain") and not args.source:
         parser.error(f"{args.job} needs --source")
     spark = session.build("strata")
     if args.job == "run":
@@ -26,6 +26,9 @@ def main(argv: list[str] | None = None) -> None:
         layers.silver(spark, args.root, args.run_id)
     elif args.job == "gold":
         layers.gold(spark, args.root, args.run_id)
+    elif args.job == "drain":
+        schema = incremental.schema_of(spark, args.source)
+        incremental.drain(spark, args.source, args.root, schema, f"{args.root}/checkpoint")
     elif args.job == "peek":
         df = tables.read_layer(spark, layers.layer_path(args.root, args.layer))
         preview.peek(df).show()

@@ -51,23 +51,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def scan_files(spark: SparkSession, *paths: str, strict: bool = False) -> DataFrame:
+def scan_files(
+    spark: SparkSession, *paths: str, schema: T.StructType | None = None, strict: bool = False
+) -> DataFrame:
     """Concatenate all Parquet files below ``paths`` by column name; absent columns are null.
 
     Paths without files count as empty. An unreadable path or files whose types
-    cannot be merged also give an empty table unless ``strict``.
+    cannot be merged also give an empty table unless ``strict``. Without
+    ``schema`` the footers of all files are read to merge their columns.
     """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     frames = []
     for path in paths:
         if not path_exists(spark, path):
             continue
         try:
-            frames.append(spark.read.option("mergeSchema", True).parquet(path))
+            frames.append(reader.parquet(path))
         except Exception as error:
             if strict and not _has_no_data(error):
                 raise
     if not frames:
-        return spark.createDataFrame([], T.StructType([]))
+        return spark.createDataFrame([], schema or T.StructType([]))
     return union_all(frames)
 
 

@@ -16,6 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators import ledger
 from strata.plans import layers
 from strata.plans.config import LayerConfig
+from strata.sources import files
+
+
+def schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a source file, to declare for the stream of files like it."""
+    return files.read_source(spark, path).schema
 
 
 def file_stream(

@@ -257,11 +257,11 @@ def _wide(*fields: str) -> str:
         for layer in ("Bronze", "Silver", "Gold")
         for field in ("layer", *fields)
     ]
-    return f"(SELECT run_id, {', '.join(picks)} FROM {_METRICS} GROUP BY run_id)"
+    return f"(SELECT run_id, {', '.join(picks)} FROM {_METRICS} GROUP BY run_id) AS wide"
 
 
 def _status_sql(layer: str, unknown: str) -> str:
-    return f"CASE WHEN {layer}_layer IS NULL THEN 'Pending' ELSE coalesce({layer}_status, '{unknown}') END"
+    return f"CASE WHEN wide.{layer}_layer IS NULL THEN 'Pending' ELSE coalesce(wide.{layer}_status, '{unknown}') END"
 
 
 def _class_sql(layer: str) -> str:
@@ -297,12 +297,10 @@ SELECT run_id, coalesce(bronze_source, 'input_data.csv') AS source,
        {_status_sql('silver', 'Pending')} AS silver_status, coalesce(silver_rows_after, 0) AS silver_rows,
        coalesce(silver_duration, 'N/A') AS silver_time,
        {_status_sql('gold', 'Pending')} AS gold_status,
-       CASE WHEN gold_status = 'Success' THEN coalesce(silver_rows_after, 0) ELSE 0 END AS gold_rows,
+       CASE WHEN wide.gold_status = 'Success' THEN coalesce(silver_rows_after, 0) ELSE 0 END AS gold_rows,
        coalesce(gold_duration, 'N/A') AS gold_time
 FROM {_wide('status', 'duration', 'source', 'output_rows', 'rows_after', 'duplicates_removed', 'nulls_filled')}
-""".replace("CASE WHEN gold_status = 'Success'", "CASE WHEN wide.gold_status = 'Success'").replace(
-    "GROUP BY run_id)", "GROUP BY run_id) AS wide"
-))
+""")
 def lineage_flow(spark, sf_dir):
     return lineage.flow(derived(spark, sf_dir, METRICS))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata import __main__ as cli
 from strata import layers, profile, runs, session, tables
-from strata.plans.config import LayerConfig
+from strata.plans.config import FlagRule, LayerConfig
 
 
 def records(spark, root, run_id="r1"):
@@ -157,6 +157,8 @@ def test_command_line(spark, root, passengers, capsys):
     for job in (["bronze", "--source", passengers], ["silver"], ["gold"], ["peek"], ["report"]):
         cli.main([*job, "--root", root, "--run-id", "r1"])
     assert "[GOLD LAYER]\n - layer: Gold" in capsys.readouterr().out
+    cli.main(["drain", "--root", f"{root}-drained", "--source", passengers.rsplit("/", 1)[0]])
+    assert tables.read_layer(spark, f"{root}-drained/gold").count() == 9
     with pytest.raises(SystemExit):
         cli.main(["bronze", "--root", root])
 
@@ -208,3 +210,27 @@ def test_frames_without_rows(spark, root):
     assert got["Silver"]["skipped"] and got["Gold"]["skipped"]
     layers.bronze(spark, spark.range(5).where("id > 9"), f"{root}-2", "r1")
     assert records(spark, f"{root}-2")["Bronze"]["output_rows"] == 0
+
+
+def test_odd_headers_pass_all_layers(spark, root, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("a.b,c d,e-f,g\n1,x,,p\n1,x,,p\n,,2.5,q\n")
+    config = LayerConfig(rules=(FlagRule("a.b", "is one", 1, "y", "n"),), partition_by="g", key="a.b")
+    for _ in range(2):
+        layers.run(spark, str(path), root, "r1", config)
+    rows = tables.read_layer(spark, f"{root}/gold").select("`a.b`", "`c d`", "`e-f`", "`is one`", "g").collect()
+    assert sorted(tuple(r) for r in rows) == [(0, "unknown", 2.5, "n", "q"), (1, "x", 0.0, "y", "p")]
+    got = records(spark, root)
+    assert (got["Bronze"]["key_nulls"], got["Gold"]["key_nulls"]) == (1, 0)
+    assert got["Silver"]["nulls_filled"] == 3
+
+
+def test_json_source_with_nested_values(spark, root, tmp_path):
+    path = tmp_path / "rows.JSON"
+    path.write_text('[{"a": 1, "b": {"c": [1, 2]}, "m": null}, {"a": 1, "b": {"c": [1, 2]}, "m": null},\n {"b": null}]')
+    layers.run(spark, str(path), root, "r1")
+    silver = tables.read_layer(spark, f"{root}/silver").drop("_ingest_timestamp", "_processed_at")
+    rows = {r["a"]: (r["b"], r["m"]) for r in silver.collect()}
+    assert rows[0] == (None, "unknown") and rows[1][0]["c"] == [1, 2] and len(rows) == 2
+    got = records(spark, root)["Silver"]
+    assert (got["nulls_filled"], got["nulls_filled_exact"]) == (4, 3)

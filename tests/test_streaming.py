@@ -24,6 +24,10 @@ def schema(spark):
     return spark.createDataFrame([], SCHEMA).schema
 
 
+def test_schema_of_a_file(spark, inbox):
+    assert incremental.schema_of(spark, str(inbox / "f0.csv")).simpleString() == "struct<a:int,b:string>"
+
+
 def batches(query):
     return [p for p in query.recentProgress if p["numInputRows"]]
 

@@ -129,6 +129,14 @@ def test_scan_files_merges_below_one_path_and_keeps_partitions(spark, root):
     assert out.count() == 2
 
 
+def test_scan_files_with_a_declared_schema(spark, root):
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(f"{root}/k=1")
+    spark.createDataFrame([(2, True)], "a int, c boolean").write.parquet(f"{root}/k=2")
+    out = tables.scan_files(spark, root, schema=schema("a int, c boolean, k string"))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, None, "1"), (2, True, "2")]
+    assert tables.scan_files(spark, f"{root}/absent", schema=schema("a int")).columns == ["a"]
+
+
 def test_scan_files_without_data_is_empty(spark, root, tmp_path):
     (tmp_path / "void").mkdir()
     for path in (root, str(tmp_path / "void")):
