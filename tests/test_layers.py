@@ -152,12 +152,15 @@ def test_gathered_gold_equals_the_direct_one(spark, root, passengers):
     assert results[0] == results[1] == results[2] and len(results[0]) == 9
 
 
-def test_command_line(spark, root, passengers, capsys):
+def test_command_line(spark, root, passengers, tmp_path, capsys):
     cli.main(["run", "--root", root, "--source", passengers, "--run-id", "r1"])
     for job in (["bronze", "--source", passengers], ["silver"], ["gold"], ["peek"], ["report"]):
         cli.main([*job, "--root", root, "--run-id", "r1"])
     assert "[GOLD LAYER]\n - layer: Gold" in capsys.readouterr().out
-    cli.main(["drain", "--root", f"{root}-drained", "--source", passengers.rsplit("/", 1)[0]])
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "p.csv").write_text(open(passengers).read())
+    cli.main(["drain", "--root", f"{root}-drained", "--source", str(inbox)])
     assert tables.read_layer(spark, f"{root}-drained/gold").count() == 9
     with pytest.raises(SystemExit):
         cli.main(["bronze", "--root", root])
