@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,7 +48,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="strata-")
     return f"{base.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"
