@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import near
+from strata.llm import langid, licences, near, rules
 from strata.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,23 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = langid.dictionaries(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.languages(docs, learned).withColumn("held_out", langid.held_out(F.col("doc_id")))
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))

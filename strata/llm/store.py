@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import scratch_path, ship_package
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -20,6 +20,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and whole text under fixed names, so that clashing extra columns do not matter."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
