@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,6 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context; they need not share the driver's path."""
+    context = spark.sparkContext
+    if getattr(context, "_strata_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='strata-')}/strata", "zip", os.path.dirname(here), os.path.basename(here))
+    context.addPyFile(archive)
+    context._strata_shipped = True
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files below a path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
