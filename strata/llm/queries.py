@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licences, near, repeats, rules
+from strata.llm import langid, licences, mix, near, repeats, rules, urls
 from strata.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,52 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op9_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sources
+), weighted AS (
+  SELECT *, (rank - 1) % 3 + 1 AS weight, 3 * source_size AS most FROM ranked
+), summed AS (
+  SELECT *, sum(source_size) OVER ()::BIGINT AS total, sum(weight) OVER ()::BIGINT AS weights,
+    (sum(most) OVER o - most)::BIGINT AS most_before, (sum(weight) OVER o - weight)::BIGINT AS weight_before
+  FROM weighted WINDOW o AS (ORDER BY most / weight, rank ROWS UNBOUNDED PRECEDING)
+), stopped AS (
+  SELECT *, weight * ((total - most_before) / (weights - weight_before)) >= most AS stops FROM summed
+), targets AS (
+  SELECT source, source_size, CASE WHEN stops THEN most::DOUBLE ELSE weight * (
+    (total - sum(CASE WHEN stops THEN most ELSE 0 END) OVER ()::BIGINT) / sum(CASE WHEN stops THEN 0 ELSE weight END) OVER ()::BIGINT
+  ) END AS target FROM stopped
+), shares AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS times FROM targets
+), parts AS (
+  SELECT *, floor(times) AS whole, times - floor(times) AS part, target - floor(times) * source_size AS rest FROM shares
+), drawn AS (
+  SELECT doc_id, sized.source, size, source_size, target, whole, part, rest,
+    (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM sized JOIN parts ON sized.source IS NOT DISTINCT FROM parts.source
+), keyed AS (
+  SELECT *, CASE WHEN part > 0 AND part < 1 THEN (u / (1 - u)) / (part / (1 - part)) END AS key FROM drawn
+), ordered AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM keyed
+)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN key IS NOT NULL AND upto - size / 2 < rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered
+"""
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    return urls.url_filter(table(spark, sf_dir, "pages"), labels)
