@@ -172,7 +172,8 @@ def links(docs: DataFrame, classes: DataFrame, group_shingles: int = GROUP_SHING
     # The hub stands in each block.
     hub_blocks = F.when(F.col("doc_id") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     dealt = dealt.withColumn("at", hub_blocks)
-    whole = saved(dealt.join(docs, "doc_id").drop("n_shingles"), "near-texts")
+    # Whole texts always meet in a sort-merge join: the same plan at every size.
+    whole = saved(dealt.join(docs.hint("merge"), "doc_id").drop("n_shingles"), "near-texts")
     outside = F.lit(True).alias("outside")
     found = saved(
         whole.select("hub", F.explode("at").alias("block"), "doc_id", "text", outside)
