@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licences, mix, near, repeats, rules, urls
+from strata.llm import langid, licences, mix, near, pii, repeats, rules, urls
 from strata.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,17 @@ def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.listed(*pii.KINDS), 256).alias("base_sha256"),
+        pii.listed(*pii.KINDS, *pii.GENERATORS).alias("spans"),
+    )
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

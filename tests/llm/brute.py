@@ -70,3 +70,33 @@ def repeats(docs: list[tuple[int, str | None]], size: int = 50) -> set:
         kept = " ".join(x for k, x in enumerate(own) if k not in gone)
         out.add((i, len(own), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, d in enumerate(map(int, reversed(digits))):
+        total += (d * 2 - 9 if d > 4 else d * 2) if k % 2 else d
+    return total % 10 == 0
+
+
+def personal(text: str | None) -> dict[str, list[tuple[int, int]]]:
+    text = text or ""
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    return {
+        "email": [m.span() for m in EMAIL.finditer(text)],
+        "ip": [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))],
+        "card": [m.span() for m in CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))],
+        "phone": [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15],
+    }
+
+
+def personal_row(i: int, text: str | None) -> tuple:
+    found = personal(text)
+    listed = ",".join(f"{kind}:{a}:{b}" for kind in found for a, b in found[kind])
+    return (i, *(len(found[k]) for k in found), hashlib.sha256(listed.encode()).hexdigest())
