@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licences, mix, near, pii, repeats, rules, urls
+from strata.llm import decontaminate, langid, licences, mix, near, order, pii, repeats, rules, urls
 from strata.llm.store import table
+from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,11 +50,22 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(docs, learned).withColumn("held_out", langid.held_out(F.col("doc_id")))
 
 
+@query
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = order.materialise(table(spark, sf_dir, "documents"), scratch_path(spark, "training-order"))
+    return order.read(spark, path).select("slot", "shard", "byte_offset", F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
