@@ -42,21 +42,34 @@ TREES, DEPTH, RATE, LEAST_WEIGHT = 20, 3, 0.3, 2.0
 # A threshold needs so many calibration spans above it, and that share of them right.
 CALIBRATION_SPANS, PRECISION = 20, 0.95
 
-_SPAN = "array<struct<start:int,end:int,hit:string>>"
+_SPAN = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
+# Characters of context.
+BEFORE = 16
 
 
-def matches(text: Column, pattern: str, worth: Column) -> Column:
-    """Start, end (code points, end exclusive) and text of all matches, in order; none where ``worth`` is false."""
+def matches(text: Column, pattern: str, worth: Column, check: Callable[[Column], Column] = F.isnotnull) -> Column:
+    """The matches that pass the check, in order, none where ``worth`` is false; the others only move the position.
+
+    Start and end (code points, end exclusive), text, and the characters around it up to the neighbouring matches.
+    Every step copies the state, so the gaps between matches come with the hits and only what passes is collected.
+    """
     hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    state = F.struct(F.lit(0).alias("k"), F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    parts = F.arrays_zip(hits.alias("hit"), gaps.alias("gap"), F.slice(gaps, 2, F.greatest(F.size(gaps), F.lit(1))).alias("rest"))
+    state = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(acc: Column, hit: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, acc["k"]))
+    def step(acc: Column, part: Column) -> Column:
+        hit, gap = part["hit"], part["gap"]
+        start = acc["at"] + F.length(gap)
         end = start + F.length(hit)
-        found = F.array(F.struct(start.alias("start"), end.alias("end"), hit.alias("hit")))
-        return F.struct((acc["k"] + 1).alias("k"), end.alias("at"), F.concat(acc["out"], found).alias("out"))
+        found = F.struct(
+            start.alias("start"), end.alias("end"), hit.alias("hit"),
+            F.substring(gap, -BEFORE, BEFORE).alias("before"), F.substring(part["rest"], 1, 1).alias("after"),
+        )
+        # The last part is the gap behind the last hit.
+        kept = F.when(F.coalesce(check(hit), F.lit(False)), F.concat(acc["out"], F.array(found))).otherwise(acc["out"])
+        return F.struct(F.coalesce(end, acc["at"]).alias("at"), kept.alias("out"))
 
-    return F.when(worth, F.aggregate(hits, state, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
+    return F.when(worth, F.aggregate(parts, state, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
 
 
 def digits_of(hit: Column) -> Column:
@@ -82,14 +95,12 @@ def _small(part: Column) -> Column:
 def base_spans(text: Column) -> dict[str, Column]:
     """The spans of each base kind; matches that fail their check are dropped and not tried again."""
     numeric = text.rlike("[0-9]")
-    ip = matches(text, IP, text.rlike(r"[0-9]\.[0-9]"))
-    card, phone = matches(text, CARD, numeric), matches(text, PHONE, F.instr(text, "+") > 0)
-    length = lambda x: F.length(digits_of(x["hit"]))
+    length = lambda hit: F.length(digits_of(hit))
     return {
         "email": matches(text, EMAIL, F.instr(text, "@") > 0),
-        "ip": F.filter(ip, lambda x: F.forall(F.split(x["hit"], r"\."), _small)),
-        "card": F.filter(card, lambda x: F.when(length(x).between(13, 19), luhn(digits_of(x["hit"]))).otherwise(F.lit(False))),
-        "phone": F.filter(phone, lambda x: length(x).between(9, 15)),
+        "ip": matches(text, IP, text.rlike(r"[0-9]\.[0-9]"), lambda hit: F.forall(F.split(hit, r"\."), _small)),
+        "card": matches(text, CARD, numeric, lambda hit: F.when(length(hit).between(13, 19), luhn(digits_of(hit))).otherwise(F.lit(False))),
+        "phone": matches(text, PHONE, F.instr(text, "+") > 0, lambda hit: length(hit).between(9, 15)),
     }
 
 
@@ -107,8 +118,7 @@ def candidates(text: Column) -> dict[str, Column]:
     def described(span: Column) -> Column:
         hit = span["hit"]
         removed = lambda chars: F.length(hit) - F.length(F.regexp_replace(hit, chars, ""))
-        before = F.lower(F.substring(text, F.greatest(span["start"] - 15, F.lit(1)), F.least(span["start"], F.lit(16))))
-        after = F.substring(text, span["end"] + 1, F.lit(1))
+        before, after = F.lower(span["before"]), span["after"]
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),

@@ -100,3 +100,51 @@ def personal_row(i: int, text: str | None) -> tuple:
     found = personal(text)
     listed = ",".join(f"{kind}:{a}:{b}" for kind in found for a, b in found[kind])
     return (i, *(len(found[k]) for k in found), hashlib.sha256(listed.encode()).hexdigest())
+
+
+def statistics(text: str | None) -> tuple[int, int, int, int, int]:
+    text = text or ""
+    own = words(text)
+    n = len(own)
+    counts: dict = {}
+    for i in range(n - 2):
+        counts[tuple(own[i : i + 3])] = counts.get(tuple(own[i : i + 3]), 0) + 1
+    covered = {i + k for i in range(n - 2) if counts[tuple(own[i : i + 3])] > 1 for k in range(3)}
+    seen: set = set()
+    again = 0
+    for line in text.split("\n"):
+        if words(line):
+            again += line in seen
+            seen.add(line)
+    return n, sum(map(len, own)), sum(text.count(c) for c in "#*$%&|<>"), again, len(covered)
+
+
+LICENCE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LICENCE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def licences(text: str | None) -> tuple:
+    own = LICENCE_WORD.findall((text or "").translate(LOWER))
+    places, labels = [], set()
+    for phrase, label in LICENCE_PHRASES.items():
+        parts = phrase.split()
+        for i in range(len(own) - len(parts) + 1):
+            if own[i : i + len(parts)] == parts:
+                places.append(i)
+                labels.add(label)
+    return len(own), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def url(value: str | None) -> tuple:
+    """Host, path, rule and the rule's verdict."""
+    if value is None or "://" not in value:
+        return "", "", None, None
+    rest = value.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = host.translate(LOWER)
+    fits = [(len(h + p), h + p, v) for v, h, p in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *(max(fits)[1:] if fits else (None, None)))
