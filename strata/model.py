@@ -11,6 +11,7 @@ INGESTED_AT = "_ingest_timestamp"
 PROCESSED_AT = "_processed_at"
 LOADED_AT = "gold_loaded_at"
 
+# Field names of run records, ledger entries and pipeline runs.
 METRICS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -48,6 +49,7 @@ METRICS = T.StructType(
         T.StructField("exception", T.StringType()),
         T.StructField("skipped", T.BooleanType()),
         T.StructField("key_nulls", T.LongType()),
+        T.StructField("malformed_rows", T.LongType()),
     ]
 )
 

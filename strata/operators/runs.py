@@ -36,8 +36,17 @@ RECORD_KEYS = (
     "output",
     "app_name",
     "exception",
+    # Fields of our own.
+    "skipped",
+    "key_nulls",
+    "nulls_filled_exact",
+    "malformed_rows",
 )
 
+# Largest k for which Spark's window group limit works (its default threshold).
+GROUP_LIMIT = 1000
+PARTS = 64
+
 # Texts for a run without a known file.
 QUEUED_FILE = "Queued file"
 
@@ -107,18 +116,39 @@ def recent(runs: DataFrame, pipelines: Sequence[str], k: int = 6) -> DataFrame:
     place and holds at most ``k`` rows per named pipeline.
     """
     newest_first = [F.col("start_date").desc_nulls_last(), F.col("pipeline_id"), F.col("run_id")]
-    per_pipeline = Window.partitionBy("pipeline_id").orderBy(*newest_first)
-    top = (
-        runs.where(F.col("pipeline_id").isin(*pipelines))
-        .withColumn("rank", F.row_number().over(per_pipeline))
-        .where(F.col("rank") <= k)
-        .drop("rank")
-    )
+    named = runs.where(F.col("pipeline_id").isin(*pipelines))
+    if k > GROUP_LIMIT:
+        # Spark limits no group to so many rows before the shuffle: each part of a pipeline gives its own k first.
+        part = F.pmod(F.xxhash64("run_id"), F.lit(PARTS)).alias("part")
+        named = _first_of(named.withColumn("part", part), ["pipeline_id", "part"], newest_first, k).drop("part")
+    top = _first_of(named, ["pipeline_id"], newest_first, k)
     merged = top.orderBy(*newest_first).limit(k * len(pipelines))
     numbered = merged.withColumn("position", F.row_number().over(Window.orderBy(*newest_first)))
     return numbered.withColumn("display_name", fmt.run_name(F.col("run_id"), F.col("position")))
 
 
+def _first_of(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return ranked.where(F.col("rank") <= k).drop("rank")
+
+
+def latest_records(metrics: DataFrame) -> DataFrame:
+    """The record that ended last for each layer, over all runs; ties go to the larger run id."""
+    whole = F.struct(*metrics.columns)
+    ended = F.struct(F.coalesce("end_time", F.lit("")), F.coalesce("run_id", F.lit("")))
+    return metrics.groupBy(F.col("layer").alias("of")).agg(F.max_by(whole, ended).alias("record")).select("record.*")
+
+
+def warnings(metrics: DataFrame) -> DataFrame:
+    """What a run should be looked at for although it did not fail: ``(run_id, layer, warning)``."""
+    found = F.array(
+        F.when(F.col("key_nulls") > 0, F.concat(F.col("key_nulls").cast("string"), F.lit(" rows without a key"))),
+        F.when(F.col("malformed_rows") > 0, F.concat(F.col("malformed_rows").cast("string"), F.lit(" malformed rows kept"))),
+        F.when(F.col("skipped"), F.lit("skipped: no input")),
+    )
+    return metrics.select("run_id", "layer", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("warning"))
+
+
 def attach_file(
     runs: DataFrame,
     ledger: DataFrame,
@@ -180,6 +210,9 @@ def unpivot_metrics(metrics: DataFrame) -> DataFrame:
 def _as_text(dtype: T.DataType, key: str) -> Column:
     if isinstance(dtype, T.ArrayType):
         return fmt.schema_list(F.col(key)) if isinstance(dtype.elementType, T.StructType) else fmt.text_list(F.col(key))
+    if isinstance(dtype, T.BooleanType):
+        # Only what happened is listed.
+        return F.when(F.col(key), F.lit("true"))
     return F.col(key).cast("string")
 
 

@@ -42,6 +42,10 @@ class LayerConfig:
     partition_by: str | None = "Pclass"
     key: str | None = "PassengerId"
     fmt: str = "parquet"
+    # JSON sources hold one object per line.
+    lines: bool = False
+    # Malformed source rows fail the run, or are kept and counted ("keep").
+    malformed: str = "fail"
     # Find repeated rows by their hashes first; for large inputs in which few different rows repeat.
     screen_duplicates: bool = False
     # Gather partition values before a partitioned write, at the cost of a shuffle.

@@ -32,10 +32,16 @@ STEP_FILL = "Fill null values"
 STEP_STAMP = f"Add {PROCESSED_AT} timestamp"
 
 
-def layer_path(root: str, layer: str, batch: int | None = None) -> str:
-    """Folder of a layer, or of the part of it that one stream batch wrote."""
+def layer_path(root: str, layer: str, batch: int | str | None = None) -> str:
+    """Folder of a layer, or of the part of it that one stream batch wrote.
+
+    A batch is named by its number, or as ``<stream>/<number>`` where several streams share a root.
+    """
     path = f"{root.rstrip('/')}/{layer.lower()}"
-    return path if batch is None else f"{path}/batch_id={batch}"
+    if batch is None:
+        return path
+    stream, _, number = str(batch).rpartition("/")
+    return f"{path}/stream={stream}/batch_id={number}" if stream else f"{path}/batch_id={number}"
 
 
 def metrics_path(root: str) -> str:
@@ -87,7 +93,7 @@ def bronze(
     run_id: str,
     config: LayerConfig = DEFAULT,
     schema_in: T.StructType | None = None,
-    batch: int | None = None,
+    batch: int | str | None = None,
     source_name: str | None = None,
 ) -> dict:
     """Write a source file (or frame) with a load stamp to the raw layer."""
@@ -95,16 +101,20 @@ def bronze(
     path = layer_path(root, "bronze", batch)
     with _recorded(spark, root, run_id, "Bronze", path) as entry:
         entry.update(source=name, input_rows=0, output_rows=0, schema=[])
-        df = files.read_source(spark, source, schema_in) if isinstance(source, str) else source
-        counted, seen = metrics.observe_counts(df, key_nulls=_key_nulls(df, config))
+        df = source
+        if isinstance(source, str):
+            df = files.read_source(spark, source, schema_in, config.lines, config.malformed)
+        marked = F.col(files.MALFORMED).isNotNull() if files.MALFORMED in df.columns else F.lit(False)
+        counted, seen = metrics.observe_counts(df, key_nulls=_key_nulls(df, config), malformed=F.count_if(marked))
         tables.write_layer(columns.stamp(counted, INGESTED_AT), path, fmt=config.fmt)
         rows, key_nulls = seen.get["rows"], seen.get["key_nulls"]
         entry.update(input_rows=rows, output_rows=rows, schema=schema.fields(df), key_nulls=key_nulls)
+        entry.update(malformed_rows=seen.get["malformed"])
     return entry
 
 
 def silver(
-    spark: SparkSession, root: str, run_id: str, config: LayerConfig = DEFAULT, batch: int | None = None
+    spark: SparkSession, root: str, run_id: str, config: LayerConfig = DEFAULT, batch: int | str | None = None
 ) -> dict:
     """Refine the raw layer. An empty raw layer leaves the refined one as it is."""
     path = layer_path(root, "silver", batch)
@@ -113,19 +123,15 @@ def silver(
             rows_before=0, rows_after=0, duplicates_removed=0, nulls_filled=0, nulls_filled_exact=0, transformations=[]
         )
         source = layer_path(root, "bronze", batch)
-        df = tables.read_layer(spark, source, config.fmt)
+        df = tables.read_layer(spark, source, config.fmt).drop(files.MALFORMED)
         if df.isEmpty():
             entry["skipped"] = True
         else:
+            # A schema that does not fit is refused before any pass over the data.
+            tables.check_fits(columns.stamp(columns.drop_artifacts(df, config.artifacts), PROCESSED_AT), path, config.fmt)
             with session.settings(spark, session.shuffle_sized_for(spark, source)):
                 refined, seen = refine_counted(df, config)
-                try:
-                    tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
-                except ValueError:
-                    # Refused before any pass: the record still tells what the input held.
-                    refined.write.format("noop").mode("overwrite").save()
-                    entry.update(_figures(seen.get))
-                    raise
+                tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
             figures = _figures(seen.get)
             dropped = len(refined.columns) < len(df.columns)
             entry.update(
@@ -137,7 +143,7 @@ def silver(
 
 
 def gold(
-    spark: SparkSession, root: str, run_id: str, config: LayerConfig = DEFAULT, batch: int | None = None
+    spark: SparkSession, root: str, run_id: str, config: LayerConfig = DEFAULT, batch: int | str | None = None
 ) -> dict:
     """Enrich the refined layer and write it partitioned. A missing or empty one is skipped."""
     path = layer_path(root, "gold", batch)
@@ -153,7 +159,7 @@ def gold(
             out = enrich(columns.stamp(df, LOADED_AT), config)
             gather = config.rebalance
             if gather is None:
-                gather = part is not None and tables.has_many_values(df, part)
+                gather = part is not None and tables.leaves_small_files(df, part, session.stored_bytes(spark, source))
             if gather:
                 out = tables.spread_for_write(out, part)
                 writing = session.shuffle_sized_for(spark, source)
@@ -182,7 +188,7 @@ def run(
     run_id: str,
     config: LayerConfig = DEFAULT,
     schema_in: T.StructType | None = None,
-    batch: int | None = None,
+    batch: int | str | None = None,
     source_name: str | None = None,
 ) -> list[dict]:
     """Take a source through all three layers and return their records."""

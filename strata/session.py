@@ -6,6 +6,7 @@ import os
 import re
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -75,15 +76,42 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
-    """Use some SQL settings for a while and put the former ones back."""
-    before = {key: spark.conf.get(key) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, str(value))
+    """Use some SQL settings for a while and put the former ones back.
+
+    Where several threads of a session ask for the same setting at once, the largest number holds for all of them,
+    and the former value comes back when the last one leaves.
+    """
+    with _LOCK:
+        for key, value in values.items():
+            held = _HELD.setdefault((spark, key), [spark.conf.get(key, None)])
+            held.append(str(value))
+            spark.conf.set(key, _largest(held[1:]))
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        with _LOCK:
+            for key, value in values.items():
+                held = _HELD[spark, key]
+                held.reverse()
+                held.remove(str(value))
+                held.reverse()
+                if len(held) > 1:
+                    spark.conf.set(key, _largest(held[1:]))
+                    continue
+                del _HELD[spark, key]
+                if held[0] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, held[0])
+
+
+_LOCK = threading.Lock()
+# For each session and setting: its former value, then the values asked for by whoever is within settings() now.
+_HELD: dict[tuple[SparkSession, str], list[str | None]] = {}
+
+
+def _largest(values: list[str]) -> str:
+    return max(values, key=int) if all(v.isdigit() for v in values) else values[-1]
 
 
 def shuffle_sized_for(spark: SparkSession, path: str) -> dict[str, object]:

@@ -1,4 +1,8 @@
-"""Source-file scans: CSV, JSON, and the choice between them by file name."""
+"""Source-file scans: CSV, JSON, and the choice between them by file name.
+
+No row is lost or changed without a sign. Columns follow the header's names, a file that holds more than its reader
+would return is refused, and malformed rows fail the read unless they are to be kept with a mark.
+"""
 
 from __future__ import annotations
 
@@ -8,32 +12,86 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.naming import by_position
+
+# Holds the text of a malformed row where such rows are kept.
+MALFORMED = "_malformed"
+
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, malformed: str = "fail"
+) -> DataFrame:
     """Scan CSV with a header row; types are inferred unless ``schema`` is given.
 
-    Inference reads the whole input once more. Give a schema on large inputs.
+    A given schema is matched by header name: a column absent from the header is null, one absent from the schema is
+    an error, and a further file whose header differs is refused. Inference reads the whole input once more. Give a
+    schema on large inputs.
+
+    A cell that does not fit its type, and a row shorter or longer than the header, fails the read. With
+    ``malformed="keep"`` its readable cells stay and the row's text is in column ``_malformed``.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    _check_choice(malformed)
+    header = spark.read.option("header", True).csv(path)
+    if schema is None:
+        inferred = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        if malformed == "fail":
+            return spark.read.option("header", True).option("mode", "FAILFAST").schema(inferred.schema).csv(path)
+        return _with_mark(spark, inferred.schema).option("header", True).csv(path)
+    declared = {f.name.lower(): f for f in schema}
+    extra = [name for name in header.columns if name.lower() not in declared]
+    if extra:
+        raise ValueError(f"columns not in the declared schema: {extra}")
+    found = T.StructType([T.StructField(name, declared[name.lower()].dataType) for name in header.columns])
+    if malformed == "fail":
+        reader = spark.read.schema(found).option("mode", "FAILFAST")
+    else:
+        reader = _with_mark(spark, found)
+    df = reader.option("header", True).option("enforceSchema", False).csv(path)
+    at = {name.lower(): i for i, name in enumerate(df.columns)}
+    wanted = [*schema, *([T.StructField(MALFORMED, T.StringType())] if malformed == "keep" else [])]
+    picked = [
+        F.col(f"c{at[f.name.lower()]}") if f.name.lower() in at else F.lit(None).cast(f.dataType) for f in wanted
+    ]
+    return by_position(df).select(*(c.alias(f"p{i}") for i, c in enumerate(picked))).toDF(*(f.name for f in wanted))
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    lines: bool = False,
+    malformed: str = "fail",
 ) -> DataFrame:
     """Scan JSON files holding one object or one array of objects each.
 
-    Such a file is read by one task. ``lines=True`` reads one object per line
-    instead, which splits within a file and is the form to use for large files.
+    Such a file is read by one task, and one with more than one value is refused, as all but the first would be lost.
+    ``lines=True`` reads one object per line instead, which splits within a file and is the form to use for large
+    files. Records that cannot be read, or whose values do not fit a given schema, fail the read; with
+    ``malformed="keep"`` their text is in column ``_malformed``.
+    """
+    _check_choice(malformed)
+    if not lines:
+        check_single_values(spark, path)
+    if schema is None:
+        reader = spark.read.option("multiLine", not lines).option("columnNameOfCorruptRecord", MALFORMED)
+        schema = reader.json(path).schema
+        if malformed == "fail" and MALFORMED in schema.names or schema.names == [MALFORMED]:
+            raise ValueError(f"no readable JSON record in {path}" if len(schema) == 1 else f"malformed JSON in {path}")
+        schema = T.StructType([f for f in schema if f.name != MALFORMED])
+    reader = spark.read.schema(schema).option("mode", "FAILFAST") if malformed == "fail" else _with_mark(spark, schema)
+    return reader.option("multiLine", not lines).json(path)
+
+
+def check_single_values(spark: SparkSession, *paths: str) -> None:
+    """Refuse JSON files that hold several values one after the other.
+
+    Outside of texts, a closing bracket directly before an opening one stands only between two such values.
     """
-    reader = spark.read.option("multiLine", not lines)
-    if schema:
-        reader = reader.schema(schema)
-    df = reader.json(path)
-    if df.columns == ["_corrupt_record"]:
-        raise ValueError(f"no readable JSON record in {path}")
-    return df
+    bare = F.regexp_replace("value", r'"(?:[^"\\]++|\\.)*+"', "")
+    several = spark.read.text(list(paths), wholetext=True).where(bare.rlike(r"[}\]]\s*[{\[]"))
+    found = several.select("_metadata.file_path").first()
+    if found:
+        raise ValueError(f"{found[0]} holds more than one JSON value: read it with lines=True")
 
 
 def is_json(path: str) -> bool:
@@ -41,9 +99,27 @@ def is_json(path: str) -> bool:
     return path.lower().endswith(".json")
 
 
-def read_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a source file with the reader its name selects."""
-    return read_json(spark, path, schema) if is_json(path) else read_csv(spark, path, schema)
+def read_source(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    lines: bool = False,
+    malformed: str = "fail",
+) -> DataFrame:
+    """Scan a source file with the reader its name selects; ``lines`` applies to JSON."""
+    if is_json(path):
+        return read_json(spark, path, schema, lines, malformed)
+    return read_csv(spark, path, schema, malformed)
+
+
+def _check_choice(malformed: str) -> None:
+    if malformed not in ("fail", "keep"):
+        raise ValueError(f"malformed rows are to fail or to keep, not {malformed}")
+
+
+def _with_mark(spark: SparkSession, schema: T.StructType):
+    marked = T.StructType([*schema, T.StructField(MALFORMED, T.StringType())])
+    return spark.read.schema(marked).option("columnNameOfCorruptRecord", MALFORMED)
 
 
 def name_is_valid(name: Column, exts: Sequence[str] = (".csv",)) -> Column:

@@ -14,8 +14,10 @@ from strata.functions.naming import by_position, col
 
 # Parquet stores these as one physical integer, so a narrower one fits a wider one.
 _INT_FAMILY = (T.ByteType, T.ShortType, T.IntegerType)
-# A task that writes at most this many partition values leaves files of a useful size.
+# A writer keeps at most this many files open, one per partition value.
 DIRECT_VALUES = 16
+# Files of a partitioned write are to hold this much on average.
+FILE_BYTES = 64 * 1024 * 1024
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -52,14 +54,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_files(
-    spark: SparkSession, *paths: str, schema: T.StructType | None = None, strict: bool = False
+    spark: SparkSession,
+    *paths: str,
+    schema: T.StructType | None = None,
+    strict: bool = True,
+    skipped: list[str] | None = None,
 ) -> DataFrame:
     """Concatenate all Parquet files below ``paths`` by column name; absent columns are null.
 
-    Paths without files count as empty. An unreadable path or files whose types
-    cannot be merged also give an empty table unless ``strict``. Without
-    ``schema`` the footers of all files are read to merge their columns.
+    Paths without files count as empty. An unreadable path, or files whose types cannot be merged, raise. With
+    ``strict=False`` such a path is left out as a whole and its name is appended to ``skipped``, which must be given.
+    Without ``schema`` the footers of all files are read to merge their columns.
     """
+    if not strict and skipped is None:
+        raise ValueError("a lenient scan needs a list for the paths it skips")
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     frames = []
     for path in paths:
@@ -68,8 +76,11 @@ def scan_files(
         try:
             frames.append(reader.parquet(path))
         except Exception as error:
-            if strict and not _has_no_data(error):
+            if _has_no_data(error):
+                continue
+            if strict:
                 raise
+            skipped.append(path)
     if not frames:
         return spark.createDataFrame([], schema or T.StructType([]))
     return union_all(frames)
@@ -110,6 +121,13 @@ def conform(
     return frame.select(*[value.alias(f"p{i}") for i, value in enumerate(picked)]).toDF(*names)
 
 
+def check_fits(df: DataFrame, path: str, fmt: str = "parquet", merge_schema: bool = False) -> None:
+    """Refuse data whose schema does not fit the table in place; looks at schemas only."""
+    existing = layer_or_none(df.sparkSession, path, fmt) if fmt == "parquet" else None
+    if existing is not None and existing.columns:
+        conform(df, existing.schema, merge_schema)
+
+
 def write_layer(
     df: DataFrame,
     path: str,
@@ -122,6 +140,7 @@ def write_layer(
     The data must fit the table already there (see :func:`conform`).
     ``partition_by`` applies only where the column exists. Use
     :func:`spread_for_write` beforehand to keep the partition files few.
+    ``fmt="delta"`` leaves both checks to that format.
     """
     spark = df.sparkSession
     if partition_by not in df.columns:
@@ -148,10 +167,28 @@ def _check_not_read(df: DataFrame, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder)
     prefix = folder.toUri().toString().rstrip("/") + "/"
-    if any(name.startswith(prefix) for name in df.inputFiles()):
+    roots = [f"{root.rstrip('/')}/" for root in _read_roots(df)]
+    inside = any(root.startswith(prefix) for root in roots)
+    # A folder above the target is read in parts; only then do its files have to be looked at.
+    if not inside and any(prefix.startswith(root) for root in roots):
+        inside = any(name.startswith(prefix) for name in df.inputFiles())
+    if inside:
         raise ValueError(f"{path} cannot be overwritten with data read from it")
 
 
+def _read_roots(df: DataFrame) -> list[str]:
+    """Paths that the scans of a frame start from, however many files lie below them."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        relation = getattr(leaves.apply(i), "relation", None)
+        relation = relation() if leaves.apply(i).getClass().getSimpleName() == "LogicalRelation" else None
+        if relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation":
+            paths = relation.location().rootPaths()
+            roots += [paths.apply(k).toUri().toString() for k in range(paths.size())]
+    return roots
+
+
 def spread_for_write(df: DataFrame, partition_by: str | None) -> DataFrame:
     """Gather each partition value into few files, splitting hot values at run time.
 
@@ -164,13 +201,22 @@ def spread_for_write(df: DataFrame, partition_by: str | None) -> DataFrame:
     return df.hint("rebalance", col(partition_by))
 
 
-def has_many_values(df: DataFrame, column: str, limit: int = DIRECT_VALUES) -> bool:
-    """Whether a column holds more than about ``limit`` values; reads that column only.
+def leaves_small_files(df: DataFrame, column: str, stored: int, least: int = FILE_BYTES) -> bool:
+    """Whether writing straight from the scan leaves files below ``least`` bytes; reads the partition column only.
 
-    With few values each writer can keep one file per value open and the shuffle
-    of :func:`spread_for_write` is not worth its cost.
+    Each task then writes a file per value it meets. ``stored`` is the size of what is scanned. One task writes one
+    file per value at best, whatever their size, so there a shuffle gains nothing unless the values are many.
     """
-    return df.agg(F.approx_count_distinct(col(column))).first()[0] > limit
+    values = df.agg(F.approx_count_distinct(col(column))).first()[0]
+    tasks = scan_tasks(df.sparkSession, stored)
+    return values > DIRECT_VALUES or (tasks > 1 and stored < least * tasks * values)
+
+
+def scan_tasks(spark: SparkSession, stored: int) -> int:
+    """About how many tasks Spark makes of a scan of so many bytes."""
+    size = lambda key: spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    split = max(size("spark.sql.files.openCostInBytes"), stored // max(1, spark.sparkContext.defaultParallelism))
+    return -(-stored // min(size("spark.sql.files.maxPartitionBytes"), split)) or 1
 
 
 def _has_no_data(error: Exception) -> bool:

@@ -11,7 +11,7 @@ from strata.workloads.inputs import DIRTY, derived, plain
 from strata.workloads.registry import query, table
 
 _DIRTY = plain(DIRTY)
-STAMPS = ("_ingest_timestamp", "_processed_at", "gold_loaded_at", "batch_id")
+STAMPS = ("_ingest_timestamp", "_processed_at", "gold_loaded_at", "batch_id", "stream")
 CONFIG = LayerConfig(
     rules=(FlagRule("p", "urgency", "2-HIGH", "urgent", "regular", "Urgency added"),),
     partition_by="s",

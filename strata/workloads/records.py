@@ -154,14 +154,14 @@ wide AS (
     FROM block GROUP BY run_id),
 missing AS (SELECT ' - Status: No metrics found (Job may have failed or skipped)' || chr(10) AS text)
 SELECT run_id, 'PIPELINE EXECUTION REPORT' || chr(10) || '=========================' || chr(10)
-       || 'Run ID: ' || run_id || chr(10) || 'Date:   2026-07-01 16:07:08' || chr(10) || chr(10)
+       || 'Run ID: ' || run_id || chr(10) || 'Date:   2031-03-08 10:11:12' || chr(10) || chr(10)
        || '[BRONZE LAYER]' || chr(10) || coalesce(b, missing.text) || chr(10)
        || '[SILVER LAYER]' || chr(10) || coalesce(s, missing.text) || chr(10)
        || '[GOLD LAYER]' || chr(10) || coalesce(g, missing.text) || chr(10) AS report
 FROM wide, missing
 """)
 def run_report(spark, sf_dir):
-    return report.render(derived(spark, sf_dir, METRICS), "2026-07-01 16:07:08")
+    return report.render(derived(spark, sf_dir, METRICS), "2031-03-08 10:11:12")
 
 
 # Ledger

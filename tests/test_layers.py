@@ -109,14 +109,58 @@ def test_index_columns_go_before_dedupe(spark, root, tmp_path):
     assert got["transformations"][0] == "Remove index columns"
 
 
-def test_refused_silver_still_tells_its_input(spark, root, passengers):
+def test_refused_silver_reads_no_data(spark, root, passengers):
     layers.bronze(spark, passengers, root, "r1")
     spark.range(1).write.parquet(f"{root}/silver")
     with pytest.raises(ValueError, match="not in the target"):
         layers.silver(spark, root, "r1")
     got = records(spark, root)["Silver"]
-    assert (got["status"], got["rows_before"], got["rows_after"]) == ("FAILED", 10, 0)
-    assert (got["duplicates_removed"], got["nulls_filled"]) == (1, 8)
+    assert (got["status"], got["rows_before"], got["rows_after"]) == ("FAILED", 0, 0)
+    assert "not in the target" in got["exception"]
+
+
+def test_json_lines_reach_gold(spark, root, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text('{"a":1,"b":"x"}\n{"a":2,"b":"y"}\n{"a":2,"b":"y"}\n')
+    config = LayerConfig(rules=(), partition_by="b", key="a", lines=True)
+    layers.run(spark, str(path), root, "r1", config)
+    assert tables.read_layer(spark, f"{root}/gold").count() == 2
+    assert records(spark, root)["Bronze"]["input_rows"] == 3
+    with pytest.raises(ValueError, match="lines=True"):
+        layers.bronze(spark, str(path), root, "r2", LayerConfig(key="a"))
+
+
+def test_malformed_rows_are_counted_where_kept(spark, root, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("a,b\n1,x\nq,y\n3\n")
+    schema = spark.createDataFrame([], "a int, b string").schema
+    with pytest.raises(Exception, match="(?i)malformed"):
+        layers.bronze(spark, str(path), root, "r1", LayerConfig(key="a"), schema)
+    layers.run(spark, str(path), root, "r2", LayerConfig(rules=(), partition_by=None, key="a", malformed="keep"), schema)
+    got = records(spark, root, "r2")["Bronze"]
+    assert (got["input_rows"], got["malformed_rows"], got["key_nulls"]) == (3, 2, 1)
+    found = runs.warnings(runs.read_metrics(spark, layers.metrics_path(root)).where("run_id = 'r2'"))
+    assert {(r.layer, r.warning) for r in found.collect()} >= {("Bronze", "2 malformed rows kept"), ("Bronze", "1 rows without a key")}
+    assert "_malformed" not in tables.read_layer(spark, f"{root}/silver").columns
+
+
+def test_skipped_stage_tells_so(spark, root):
+    layers.gold(spark, root, "r1")
+    got = runs.read_metrics(spark, layers.metrics_path(root))
+    assert [(r.key, r.value) for r in runs.unpivot_metrics(got).where("key = 'skipped'").collect()] == [("skipped", "true")]
+    assert [r.warning for r in runs.warnings(got).collect()] == ["skipped: no input"]
+
+
+def test_stages_side_by_side_do_not_mix_settings(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with session.settings(spark, {key: 50}):
+        outer = session.settings(spark, {key: 70})
+        outer.__enter__()
+        assert spark.conf.get(key) == "70"
+    assert spark.conf.get(key) == "70"
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
 
 
 def test_failed_gold_keeps_its_rule_count(spark, root, passengers):

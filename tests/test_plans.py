@@ -55,6 +55,22 @@ def test_aggregates_read_only_their_columns(wide):
     assert "SortAggregate" not in plan(profile.column_profile(wide.select("p", "k", "d"), "p"))
 
 
+def test_text_bounds_need_no_sort(wide):
+    text = plan(profile.column_profile(wide, "p"))
+    assert "ObjectHashAggregate" in text and "Sort" not in text.replace("SortOrder", "") and exchanges(text) == 1
+
+
+def test_top_k_is_limited_before_the_shuffle_for_any_k(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    spark.createDataFrame([(f"p{i % 2}", f"r{i:05}", f"{i:05}") for i in range(9000)], "pipeline_id string, run_id string, start_date string").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert plan(runs.recent(df, ["p0", "p1"], 6)).count("WindowGroupLimit") == 2
+    large = runs.recent(df, ["p0", "p1"], 2500)
+    assert "hashpartitioning(pipeline_id" in plan(large) and "part" in plan(large)
+    got = [r.run_id for r in large.collect()]
+    assert got == [f"r{i:05}" for i in range(8999, 3999, -1)]
+
+
 @pytest.mark.parametrize("view", [lineage.status, lineage.flow, lineage.timeline, report.render, runs.quality_summary])
 def test_record_views_shuffle_once_with_partial_results(records, view):
     text = plan(view(records))

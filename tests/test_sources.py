@@ -60,10 +60,73 @@ def test_json_array_file(spark, tmp_path):
 def test_json_lines_need_the_lines_option(spark, tmp_path):
     path = tmp_path / "rows.json"
     path.write_text('{"a":1}\n{"a":2}\n{"a":3}\n')
-    assert sources.read_json(spark, str(path)).count() == 1
+    with pytest.raises(ValueError, match="more than one JSON value"):
+        sources.read_json(spark, str(path))
     assert sources.read_json(spark, str(path), lines=True).count() == 3
 
 
+@pytest.mark.parametrize("text", ['{"a":1}{"a":2}', '[{"a":1}]\n[{"a":2}]', '{"a":"x\\"}{"}\n\n {"a":"y"}'])
+def test_several_json_values_are_refused(spark, tmp_path, text):
+    path = tmp_path / "rows.json"
+    path.write_text(text)
+    with pytest.raises(ValueError, match="lines=True"):
+        sources.read_source(spark, str(path))
+
+
+def test_brackets_within_texts_are_no_values(spark, tmp_path):
+    path = tmp_path / "rows.json"
+    path.write_text('[{"a":"} {","b":[[1],[2]]},\n{"a":"]\\"[","b":[]}]')
+    assert [r["a"] for r in sources.read_source(spark, str(path)).collect()] == ["} {", ']"[']
+
+
+AB = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+
+
+def test_declared_schema_follows_the_header(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("b,a\nx,1\n")
+    assert [tuple(r) for r in sources.read_csv(spark, str(path), AB).collect()] == [(1, "x")]
+    path.write_text("B\ny\n")
+    assert [tuple(r) for r in sources.read_csv(spark, str(path), AB).collect()] == [(None, "y")]
+    path.write_text("b,a,c\nx,1,2\n")
+    with pytest.raises(ValueError, match=r"not in the declared schema: \['c'\]"):
+        sources.read_csv(spark, str(path), AB)
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,x\n")
+    (folder / "2.csv").write_text("b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_csv(spark, str(folder), AB).collect()
+
+
+@pytest.mark.parametrize("rows", ["xx,y\n", "3\n", "3,y,z\n"])
+def test_malformed_csv_rows_fail_or_are_marked(spark, tmp_path, rows):
+    path = tmp_path / "rows.csv"
+    path.write_text("a,b\n1,x\n" + rows)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_csv(spark, str(path), AB).collect()
+    kept = sources.read_csv(spark, str(path), AB, malformed="keep").collect()
+    assert [r["_malformed"] for r in kept] == [None, rows.strip()]
+    with pytest.raises(ValueError, match="fail or to keep"):
+        sources.read_csv(spark, str(path), AB, malformed="drop")
+
+
+def test_malformed_json_fails_or_is_marked(spark, tmp_path):
+    path = tmp_path / "rows.json"
+    path.write_text('{"a":1,"b":"x"}\n{"a":"q"}\n{"a":3,\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_json(spark, str(path), AB, lines=True).collect()
+    kept = sources.read_json(spark, str(path), AB, lines=True, malformed="keep").collect()
+    assert [(r["a"], r["_malformed"] is None) for r in kept] == [(1, True), (None, False), (None, False)]
+    whole = tmp_path / "cut.json"
+    whole.write_text('[{"a":1,"b":"x"},{"a":')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_json(spark, str(whole), AB).collect()
+
+
 def test_truncated_json_is_refused(spark, tmp_path):
     path = tmp_path / "cut.json"
     path.write_text('{"a":1,')

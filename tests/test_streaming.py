@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+import time
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,8 +55,51 @@ def test_drain_appends_one_batch_per_file(spark, inbox, root):
     assert tables.read_layer(spark, f"{root}/silver").count() == 7
 
 
-def test_drain_overwrites_by_default(spark, inbox, root):
+def test_drain_keeps_all_files_by_default(spark, inbox, root):
     incremental.drain(spark, str(inbox), root, schema(spark), f"{root}/checkpoint", config=CONFIG)
+    assert tables.read_layer(spark, f"{root}/bronze").count() == 9
+
+
+def test_old_files_are_not_left_out(spark, inbox, root):
+    def drain():
+        incremental.drain(spark, str(inbox), root, schema(spark), f"{root}/checkpoint", config=CONFIG)
+
+    drain()
+    late = inbox / "late.csv"
+    late.write_text("a,b\n9,z\n")
+    week_ago = time.time() - 8 * 86_400
+    os.utime(late, (week_ago, week_ago))
+    drain()
+    assert tables.read_layer(spark, f"{root}/silver").count() == 7
+
+
+def test_streams_and_checkpoints_share_a_root(spark, inbox, root):
+    for name, checkpoint in (("one", "a"), (None, "b"), (None, "c")):
+        incremental.drain(spark, str(inbox), root, schema(spark), f"{root}/{checkpoint}", config=CONFIG, stream=name)
+    silver = tables.read_layer(spark, f"{root}/silver")
+    assert silver.count() == 18 and silver.select("stream").distinct().count() == 3
+    assert runs.read_metrics(spark, layers.metrics_path(root)).select("run_id").distinct().count() == 9
+
+
+def test_reordered_header_is_refused_in_a_stream(spark, inbox, root):
+    (inbox / "f9.csv").write_text("b,a\nx,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        incremental.drain(spark, str(inbox), root, schema(spark), f"{root}/checkpoint", config=CONFIG)
+
+
+def test_json_streams(spark, root, tmp_path):
+    folder = tmp_path / "json"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"a":1,"b":"x"}\n{"a":2,"b":"y"}\n')
+    config = replace(CONFIG, lines=True)
+    incremental.drain(spark, str(folder), root, schema(spark), f"{root}/c1", fmt="json", config=config)
+    assert tables.read_layer(spark, f"{root}/silver").count() == 2
+    with pytest.raises(Exception, match="more than one JSON value"):
+        incremental.drain(spark, str(folder), root, schema(spark), f"{root}/c2", fmt="json", config=CONFIG)
+
+
+def test_drain_overwrites_on_request(spark, inbox, root):
+    incremental.drain(spark, str(inbox), root, schema(spark), f"{root}/checkpoint", config=CONFIG, mode="overwrite")
     bronze = tables.read_layer(spark, f"{root}/bronze")
     assert bronze.count() == 3 and "batch_id" not in bronze.columns
 
@@ -95,6 +142,21 @@ def test_scheduled_runs_take_one_file_each(spark, inbox, root):
     assert {r["a"] for r in tables.read_layer(spark, f"{root}/silver").collect()} == {0, 1}
 
 
+def test_stored_queue_keeps_the_entry_of_a_failing_run(spark, inbox, root):
+    path = f"{root}/queue"
+    entries = ledger.enqueue(incremental.load_ledger(spark, path), ["gone.csv", "f1.csv"], "s", "t")
+    incremental.store_ledger(entries, path)
+    state = lambda: [(r["status"], r["reserved_run_id"], r["processed_run_id"]) for r in incremental.load_ledger(spark, path).orderBy("position").collect()]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        incremental.run_stored(spark, path, str(inbox), root, "s", "r1", "t1", CONFIG)
+    assert state() == [("reserved", "r1", None), ("queued", None, None)]
+    (inbox / "gone.csv").write_text("a,b\n5,q\n")
+    assert len(incremental.run_stored(spark, path, str(inbox), root, "s", "r1", "t2", CONFIG)) == 3
+    assert len(incremental.run_stored(spark, path, str(inbox), root, "s", "r2", "t3", CONFIG)) == 3
+    assert incremental.run_stored(spark, path, str(inbox), root, "s", "r3", "t4", CONFIG) == []
+    assert state() == [("processed", "r1", "r1"), ("processed", "r2", "r2")]
+
+
 def test_failing_run_raises_and_is_recorded(spark, inbox, root):
     entries = ledger.enqueue(spark.createDataFrame([], LEDGER), ["gone.csv"], "s", "t")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

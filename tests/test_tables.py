@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata import tables
+from strata import session, tables
 
 
 def schema(text):
@@ -109,8 +109,21 @@ def test_hot_partition_value_is_split(spark, root):
 
 def test_value_count_decides_on_gathering(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("few"), F.col("id").alias("many"))
-    assert not tables.has_many_values(df, "few")
-    assert tables.has_many_values(df, "many")
+    assert not tables.leaves_small_files(df, "few", 1)
+    assert tables.leaves_small_files(df, "many", 1)
+    # 100 GB are read by about 800 tasks: three values leave files of 42 MB each, below the bound of 64 MB.
+    assert tables.leaves_small_files(df, "few", 100 << 30)
+    assert not tables.leaves_small_files(df, "few", 100 << 30, least=32 << 20)
+
+
+def test_many_splits_do_not_make_many_files(spark, root):
+    spark.range(20_000).selectExpr("id", "cast(id % 16 as string) AS p").repartition(40).write.parquet(f"{root}/in")
+    df = spark.read.parquet(f"{root}/in")
+    stored = session.stored_bytes(spark, f"{root}/in")
+    assert tables.leaves_small_files(df, "p", 100 * stored)
+    tables.write_layer(tables.spread_for_write(df, "p"), f"{root}/out", partition_by="p")
+    files = spark.read.parquet(f"{root}/out").select(F.col("_metadata.file_path")).distinct().count()
+    assert files <= 16 * 4
 
 
 def test_scan_files_unions_by_name(spark, root):
@@ -147,9 +160,23 @@ def test_scan_files_without_data_is_empty(spark, root, tmp_path):
 def test_scan_files_with_clashing_types(spark, root):
     spark.createDataFrame([(1,)], "a int").write.parquet(f"{root}/k=1")
     spark.createDataFrame([("x",)], "a string").write.parquet(f"{root}/k=2")
-    assert tables.scan_files(spark, root).columns == []
     with pytest.raises(Exception, match="MERGE"):
-        tables.scan_files(spark, root, strict=True)
+        tables.scan_files(spark, root)
+    spark.createDataFrame([(2,)], "a int").write.parquet(f"{root}-other")
+    skipped = []
+    assert tables.scan_files(spark, root, f"{root}-other", strict=False, skipped=skipped).count() == 1
+    assert skipped == [root]
+    with pytest.raises(ValueError, match="list for the paths"):
+        tables.scan_files(spark, root, strict=False)
+
+
+def test_guard_does_not_list_files(spark, root, monkeypatch):
+    tables.write_layer(spark.range(3).toDF("a"), f"{root}/one")
+    tables.write_layer(spark.range(3).toDF("a"), f"{root}/two")
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", lambda self: pytest.fail("it lists all files"))
+    tables.write_layer(tables.read_layer(spark, f"{root}/one"), f"{root}/two")
+    with pytest.raises(ValueError, match="cannot be overwritten"):
+        tables.write_layer(tables.read_layer(spark, f"{root}/two").where("a > 1"), f"{root}/two")
 
 
 def test_overwriting_the_table_being_read_is_refused(spark, root):
