@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.naming import col
+from strata.session import scratch_path
 
 # A lookup is broadcast only where it is counted to stay within both bounds.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -40,13 +41,17 @@ def attach(
 ) -> DataFrame:
     """Left outer join where ``right`` has at most one row per ``on``.
 
-    A small ``right`` is broadcast. Beyond the bound, the ``hot_keys`` most
-    frequent keys of ``left`` and its null keys stay where they are and get their
-    matches by broadcast (at most one row per hot key); all other rows meet in
-    a shuffle in which no key holds more than ``1 / hot_keys`` of them.
+    A small ``right`` is broadcast. Beyond the bound ``right`` is written once to the shared scratch folder, as it is
+    needed more than once. The ``hot_keys`` most frequent keys of ``left`` and its null keys then stay where they are
+    and get their matches by broadcast (at most one row per hot key, counted to stay within the bytes); all other rows
+    meet in a shuffle in which no key holds more than ``1 / hot_keys`` of them. Matches too large to broadcast meet
+    there as well, where adaptive execution splits a hot key.
     """
     if fits_broadcast(right, max_broadcast_rows):
         return left.join(F.broadcast(right), on, "left")
+    spark, path = left.sparkSession, scratch_path(left.sparkSession, "lookup")
+    right.write.parquet(path)
+    right = spark.read.schema(right.schema).parquet(path)
     hot = (
         left.where(F.col(on).isNotNull())
         .groupBy(on)
@@ -57,6 +62,8 @@ def attach(
         .select(on, F.lit(True).alias("is_hot"))
     )
     matches = right.join(F.broadcast(hot.select(on)), on, "left_semi")
+    if not fits_broadcast(matches, hot_keys):
+        return left.join(right, on, "left")
     marked = left.join(F.broadcast(hot), on, "left")
     stay = F.col("is_hot").isNotNull() | F.col(on).isNull()
     here = marked.where(stay).drop("is_hot").join(F.broadcast(matches), on, "left")
