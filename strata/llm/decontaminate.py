@@ -28,8 +28,9 @@ UNITS = (
 ).split()
 WINDOW = 8
 LEAST_LITERAL = 5
-# Share of an item's windows that must be found in a document.
+# What must be found of an item in a document: this share of its windows, or a passage of 13 words if that is less.
 COVERED = 0.5
+PASSAGE_WINDOWS = 13 - WINDOW + 1
 # Bits of the first filter: 2 MB, whatever the size of the benchmark.
 FILTER_BITS = 24
 
@@ -192,6 +193,6 @@ def contaminated(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
         F.max(F.exists("pairs", lambda x: x["item"] != x["doc"])).alias("exchanged"),
     )
-    return out.filter(F.col("n") >= F.lit(COVERED) * F.col("windows")).select(
+    return out.filter(F.col("n") >= F.least(F.lit(COVERED) * F.col("windows"), F.lit(PASSAGE_WINDOWS))).select(
         "doc_id", "item_id", (F.col("n") / F.col("windows")).alias("covered"), "exchanged"
     )

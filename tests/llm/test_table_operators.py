@@ -95,6 +95,10 @@ def test_templates(spark, empty):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r.doc_id, r.item_id, r.exchanged) for r in decontaminate.contaminated(docs, benchmark).collect()}
     assert got == {(1, 9, False), (2, 9, True), (7, 11, False)}
+    long = [f"word{'abcdefghijklmnopqrstuvwxyz'[k % 26]}{'abcdefghijklmnopqrstuvwxyz'[k // 26]}" for k in range(120)]
+    parts = spark.createDataFrame([(1, " ".join(long[40:53])), (2, " ".join(long[40:52])), (3, " ".join(long))], "doc_id bigint, text string")
+    whole = spark.createDataFrame([(9, " ".join(long))], "item_id bigint, text string")
+    assert {r.doc_id for r in decontaminate.contaminated(parts, whole).collect()} == {1, 3}
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
     assert decontaminate.contaminated(empty, benchmark).count() == 0
 
