@@ -7,33 +7,40 @@ sends beyond the end are permuted again until they fall inside (cycle-walking),
 least first, then a line feed that the text sink adds. So slot ``s`` starts at byte
 ``(s % shard_sequences) * (2 * sequence_tokens + 1)`` of shard ``s // shard_sequences``, and reading can be taken up at any slot.
 
-The payload is shuffled once: token counts are summed up per written part, so that each row knows its place in the
-stream without sorting, and the pieces of a sequence meet in their shard.
+The texts are tokenised twice and no token table is kept: the first pass counts the tokens of each part (task), whose
+sums place every part in the stream; the second cuts the documents into pieces, which meet in their shard by the one
+shuffle. The driver holds three numbers per task. Each part's tokens are checked against the first pass.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.store import saved, texts_of
+from strata.session import settings
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed values of that vocabulary: its split pattern and a free id, used as separator and filling.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEPARATOR = 50_256
+_END = np.array([SEPARATOR], "<u2").tobytes()
 SEQUENCE_TOKENS = 512
-# Records per shard: 32 MiB at the default length. Raise it with the input.
-SHARD_SEQUENCES = 32_768
+# Records per shard: 8 MiB at the default length; a reader holds one shard per task.
+SHARD_SEQUENCES = 8_192
+# Rows that Spark hands to a Python worker at once: some MB of text, so that two workers stay small beside the JVM.
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
+# The pieces of a sequence are put together from sorted rows, one sequence at a time, not in a table of sequences.
+FROM_SORTED = {"spark.sql.execution.useObjectHashAggregateExec": "false"}
 KEY = "training-order"
 ROUNDS = 6
 
@@ -49,26 +56,28 @@ def encoding(ranks: bytes) -> tiktoken.Encoding:
     return _encodings[name]
 
 
-def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``(part, before, n, ids)``: tokens of each document and how many precede it in its part."""
-    with open(tokenizer, "rb") as file:
-        ranks = file.read()
+def _token_bytes(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[bytes]:
+    """The tokens of each document with the separator, two bytes each."""
+    encode = encoding(ranks).encode_to_numpy
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 200):
+            for text in batch.column(1).slice(lo, 200).to_pylist():
+                yield encode(text, disallowed_special=()).astype("<u2").tobytes() + _END if text else _END
+        pa.default_memory_pool().release_unused()
+
+
+def _counted(docs: DataFrame, ranks: bytes) -> DataFrame:
+    """``(part, n, check)``: tokens of each part of the documents, and a checksum of them in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        encode = encoding(ranks).encode_ordinary
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                ids = [np.array([*encode(text or ""), SEPARATOR], "<u2").tobytes() for text in batch.column(1).slice(lo, 500).to_pylist()]
-                counts = np.array([len(x) // 2 for x in ids], np.int64)
-                start = before + np.cumsum(counts) - counts
-                before += int(counts.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(start), pa.array(counts), pa.array(ids, pa.binary())],
-                    names=["part", "before", "n", "ids"],
-                )
-
-    return docs.mapInArrow(run, "part bigint, before bigint, n bigint, ids binary")
+        n = check = 0
+        for ids in _token_bytes(batches, ranks):
+            n, check = n + len(ids) // 2, zlib.crc32(ids, check)
+        if n:
+            values = (TaskContext.get().partitionId(), n, check)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in values], names=["part", "n", "check"])
+
+    return docs.mapInArrow(run, "part bigint, n bigint, check bigint")
 
 
 def round_keys(key: str) -> np.ndarray:
@@ -101,12 +110,41 @@ def _scramble(x: np.ndarray, key: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _slot(number: Column, size: int, key: str) -> Column:
-    @F.pandas_udf("bigint")
-    def slot(numbers: pd.Series) -> pd.Series:
-        return pd.Series(permute(numbers.to_numpy(), size, key))
+def _pieces(docs: DataFrame, ranks: bytes, parts: dict[int, tuple[int, int, int]], size: int, length: int, key: str) -> DataFrame:
+    """``(slot, place, bytes)``: each document cut where sequences begin, with its place in the sequence's slot.
+
+    ``parts`` has the place of each part in the stream, its tokens and their checksum. A part that reads differently
+    than when it was counted fails, so that no sequence is ever made of two readings.
+    """
+
+    def batch_of(numbers: list[int], places: list[int], contents: list[bytes]) -> pa.RecordBatch:
+        slots = permute(np.array(numbers, np.int64), size, key)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(slots), pa.array(places, pa.int32()), pa.array(contents, pa.binary())], names=["slot", "place", "bytes"]
+        )
 
-    return slot(number)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        at, n, check = parts.get(part, (0, 0, 0))
+        upto, now = at + n, 0
+        rows: tuple[list, list, list] = ([], [], [])
+        for ids in _token_bytes(batches, ranks):
+            now = zlib.crc32(ids, now)
+            end = at + len(ids) // 2
+            for number in range(at // length, (end - 1) // length + 1):
+                start = max(at, number * length)
+                rows[0].append(number)
+                rows[1].append(start - number * length)
+                rows[2].append(ids[2 * (start - at) : 2 * (min(end, (number + 1) * length) - at)])
+            at = end
+            if len(rows[0]) >= 2000:
+                yield batch_of(*rows)
+                rows = ([], [], [])
+        if (at, now) != (upto, check):
+            raise ValueError(f"part {part} of the documents was read differently the second time")
+        yield batch_of(*rows)
+
+    return docs.mapInArrow(run, "slot bigint, place int, bytes binary")
 
 
 def materialise(
@@ -126,12 +164,18 @@ def materialise(
     An empty table writes a manifest and no shard. The path must not exist.
     """
     spark = docs.sparkSession
-    tokens = saved(_tokenised(texts_of(docs, id_col, text_col), tokenizer), "order-tokens")
-    # One number per written part: far fewer rows than documents, and no payload.
-    parts = tokens.groupBy("part").agg(F.sum("n").alias("in_part"))
-    running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bases = saved(parts.select("part", "in_part", (F.sum("in_part").over(running) - F.col("in_part")).alias("base")), "order-parts")
-    total = bases.agg(F.sum("in_part")).first()[0] or 0
+    with open(tokenizer, "rb") as file:
+        ranks = file.read()
+    docs = texts_of(docs, id_col, text_col)
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        # What comes out of a shuffle may be dealt otherwise when it is read again.
+        docs = saved(docs, "order-texts")
+    same = BATCH_ROWS | {"spark.sql.files.minPartitionNum": spark.sparkContext.defaultParallelism}
+    with settings(spark, same):
+        parts = sorted(tuple(row) for row in _counted(docs, ranks).collect())
+    ends = np.cumsum([n for _, n, _ in parts], dtype=np.int64).tolist()
+    total = ends[-1] if ends else 0
+    places = {part: (end - n, n, check) for (part, n, check), end in zip(parts, ends, strict=True)}
     size = -(-total // sequence_tokens)
     spark.createDataFrame(
         [(total, size, sequence_tokens, shard_sequences, key)],
@@ -139,22 +183,14 @@ def materialise(
     ).coalesce(1).write.json(f"{path}/manifest")
     if not size:
         return path
-    length = F.lit(sequence_tokens).cast("bigint")
-    at = F.col("base") + F.col("before")
-    placed = tokens.join(bases.select("part", "base"), "part").select("ids", "n", at.alias("at"))
-    pieces = placed.select("*", F.explode(F.sequence(F.expr(f"at div {sequence_tokens}"), F.expr(f"(at + n - 1) div {sequence_tokens}"))).alias("number"))
-    start = F.greatest(F.col("at"), F.col("number") * length)
-    end = F.least(F.col("at") + F.col("n"), (F.col("number") + 1) * length)
-    cut = F.substring("ids", (1 + 2 * (start - F.col("at"))).cast("int"), (2 * (end - start)).cast("int"))
-    pieces = pieces.select(
-        _slot(F.col("number"), size, key).alias("slot"), (start - F.col("number") * length).cast("int").alias("place"), cut.cast("string").alias("bytes")
-    )
+    pieces = _pieces(docs, ranks, places, size, sequence_tokens, key).withColumn("bytes", F.col("bytes").cast("string"))
     pieces = pieces.withColumn("shard", F.expr(f"slot div {shard_sequences}")).repartition("shard")
     whole = pieces.groupBy("shard", "slot").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "bytes"))), lambda x: x["bytes"]), "").alias("record"))
     filling = np.full(sequence_tokens, SEPARATOR, "<u2").tobytes().hex()
     record = F.concat(F.col("record").cast("binary"), F.unhex(F.lit(filling)))
     record = F.substring(record, 1, 2 * sequence_tokens).cast("string")
-    whole.sortWithinPartitions("shard", "slot").select("shard", record.alias("value")).write.partitionBy("shard").text(f"{path}/shards")
+    with settings(spark, same | FROM_SORTED):
+        whole.sortWithinPartitions("shard", "slot").select("shard", record.alias("value")).write.partitionBy("shard").text(f"{path}/shards")
     return path
 
 
