@@ -1,22 +1,20 @@
 """Training order: every sequence of tokens gets a global slot by a keyed permutation and is written at its place.
 
-Documents become tokens, each ended by a separator, and form one stream; sequence ``i`` is the ``i``-th run of
-``sequence_tokens`` tokens of it. A Feistel network over the next power of four permutes sequence numbers; numbers it
-sends beyond the end are permuted again until they fall inside (cycle-walking), which keeps it a permutation. Shard
-``k`` holds the slots from ``k * shard_sequences`` on. A shard is a file of records of one length: two bytes per token,
-least first, then a line feed that the text sink adds. So slot ``s`` starts at byte
-``(s % shard_sequences) * (2 * sequence_tokens + 1)`` of shard ``s // shard_sequences``, and reading can be taken up at any slot.
-
-The texts are tokenised twice and no token table is kept: the first pass counts the tokens of each part (task), whose
-sums place every part in the stream; the second cuts the documents into pieces, which meet in their shard by the one
-shuffle. The driver holds three numbers per task. Each part's tokens are checked against the first pass.
+Documents become tokens, each ended by a separator, and the documents of a part (task) form a stream that is cut into
+sequences; the last one is filled up with separators. Each part gets as many sequence numbers as its bytes could ever
+need, counted beforehand, so that numbers are known without tokenising twice. A Feistel network over the next power of
+four permutes the numbers; numbers it sends beyond the end are permuted again until they fall inside (cycle-walking),
+which keeps it a permutation. A sequence's slot is its rank by permuted number.
+
+A shard holds the sequences of ``shard_sequences`` permuted numbers in a row, in order. It is a file of records of one
+length: two bytes per token, least first, then a line feed that the text sink adds. So the place of any slot follows
+from the lengths of the files, and reading can be taken up at any slot. Tokens are shuffled once and kept nowhere else.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +33,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SEPARATOR = 50_256
 _END = np.array([SEPARATOR], "<u2").tobytes()
 SEQUENCE_TOKENS = 512
-# Records per shard: 8 MiB at the default length; a reader holds one shard per task.
-SHARD_SEQUENCES = 8_192
+# Sequence numbers per shard: at most 16 MiB at the default length, 6 with usual text; a reader holds one shard per task.
+SHARD_SEQUENCES = 16_384
 # Rows that Spark hands to a Python worker at once: some MB of text, so that two workers stay small beside the JVM.
 BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
 # The pieces of a sequence are put together from sorted rows, one sequence at a time, not in a table of sequences.
@@ -66,20 +64,6 @@ def _token_bytes(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[by
         pa.default_memory_pool().release_unused()
 
 
-def _counted(docs: DataFrame, ranks: bytes) -> DataFrame:
-    """``(part, n, check)``: tokens of each part of the documents, and a checksum of them in order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = check = 0
-        for ids in _token_bytes(batches, ranks):
-            n, check = n + len(ids) // 2, zlib.crc32(ids, check)
-        if n:
-            values = (TaskContext.get().partitionId(), n, check)
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in values], names=["part", "n", "check"])
-
-    return docs.mapInArrow(run, "part bigint, n bigint, check bigint")
-
-
 def round_keys(key: str) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.sha256(f"{key}:{k}".encode()).digest()[:8], "little") for k in range(ROUNDS)], np.uint64)
 
@@ -110,41 +94,39 @@ def _scramble(x: np.ndarray, key: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _pieces(docs: DataFrame, ranks: bytes, parts: dict[int, tuple[int, int, int]], size: int, length: int, key: str) -> DataFrame:
-    """``(slot, place, bytes)``: each document cut where sequences begin, with its place in the sequence's slot.
+def _pieces(docs: DataFrame, ranks: bytes, room: dict[int, tuple[int, int]], size: int, length: int, key: str) -> DataFrame:
+    """``(place_in_order, place, bytes)``: documents cut where sequences begin, with the permuted number of the sequence.
 
-    ``parts`` has the place of each part in the stream, its tokens and their checksum. A part that reads differently
-    than when it was counted fails, so that no sequence is ever made of two readings.
+    ``room`` has the first sequence number of each part and how many it may use. Numbers of different parts never
+    meet; a part that needs more than its room, as it was read differently before, fails.
     """
 
     def batch_of(numbers: list[int], places: list[int], contents: list[bytes]) -> pa.RecordBatch:
-        slots = permute(np.array(numbers, np.int64), size, key)
+        order = permute(np.array(numbers, np.int64), size, key)
         return pa.RecordBatch.from_arrays(
-            [pa.array(slots), pa.array(places, pa.int32()), pa.array(contents, pa.binary())], names=["slot", "place", "bytes"]
+            [pa.array(order), pa.array(places, pa.int32()), pa.array(contents, pa.binary())], names=["number", "place", "bytes"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        at, n, check = parts.get(part, (0, 0, 0))
-        upto, now = at + n, 0
+        part, at = TaskContext.get().partitionId(), 0
+        first, most = room.get(part, (0, 0))
         rows: tuple[list, list, list] = ([], [], [])
         for ids in _token_bytes(batches, ranks):
-            now = zlib.crc32(ids, now)
             end = at + len(ids) // 2
+            if end > most * length:
+                raise ValueError(f"part {part} of the documents was read differently the second time")
             for number in range(at // length, (end - 1) // length + 1):
                 start = max(at, number * length)
-                rows[0].append(number)
+                rows[0].append(first + number)
                 rows[1].append(start - number * length)
                 rows[2].append(ids[2 * (start - at) : 2 * (min(end, (number + 1) * length) - at)])
             at = end
             if len(rows[0]) >= 2000:
                 yield batch_of(*rows)
                 rows = ([], [], [])
-        if (at, now) != (upto, check):
-            raise ValueError(f"part {part} of the documents was read differently the second time")
         yield batch_of(*rows)
 
-    return docs.mapInArrow(run, "slot bigint, place int, bytes binary")
+    return docs.mapInArrow(run, "number bigint, place int, bytes binary")
 
 
 def materialise(
@@ -172,41 +154,57 @@ def materialise(
         docs = saved(docs, "order-texts")
     same = BATCH_ROWS | {"spark.sql.files.minPartitionNum": spark.sparkContext.defaultParallelism}
     with settings(spark, same):
-        parts = sorted(tuple(row) for row in _counted(docs, ranks).collect())
-    ends = np.cumsum([n for _, n, _ in parts], dtype=np.int64).tolist()
-    total = ends[-1] if ends else 0
-    places = {part: (end - n, n, check) for (part, n, check), end in zip(parts, ends, strict=True)}
-    size = -(-total // sequence_tokens)
+        # A text has at most a token per byte, and its separator.
+        most = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("most")
+        parts = docs.groupBy(F.spark_partition_id().alias("part")).agg(most).orderBy("part").collect()
+    needed = [-(-row["most"] // sequence_tokens) for row in parts]
+    ends = np.cumsum(needed, dtype=np.int64).tolist()
+    size = ends[-1] if ends else 0
+    room = {row["part"]: (end - n, n) for row, end, n in zip(parts, ends, needed, strict=True)}
     spark.createDataFrame(
-        [(total, size, sequence_tokens, shard_sequences, key)],
-        "tokens bigint, sequences bigint, sequence_tokens int, shard_sequences int, key string",
+        [(size, sequence_tokens, shard_sequences, key)], "numbers bigint, sequence_tokens int, shard_sequences int, key string"
     ).coalesce(1).write.json(f"{path}/manifest")
     if not size:
         return path
-    pieces = _pieces(docs, ranks, places, size, sequence_tokens, key).withColumn("bytes", F.col("bytes").cast("string"))
-    pieces = pieces.withColumn("shard", F.expr(f"slot div {shard_sequences}")).repartition("shard")
-    whole = pieces.groupBy("shard", "slot").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "bytes"))), lambda x: x["bytes"]), "").alias("record"))
+    pieces = _pieces(docs, ranks, room, size, sequence_tokens, key).withColumn("bytes", F.col("bytes").cast("string"))
+    pieces = pieces.withColumn("shard", F.expr(f"number div {shard_sequences}")).repartition("shard")
+    whole = pieces.groupBy("shard", "number").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "bytes"))), lambda x: x["bytes"]), "").alias("record"))
     filling = np.full(sequence_tokens, SEPARATOR, "<u2").tobytes().hex()
     record = F.concat(F.col("record").cast("binary"), F.unhex(F.lit(filling)))
     record = F.substring(record, 1, 2 * sequence_tokens).cast("string")
     with settings(spark, same | FROM_SORTED):
-        whole.sortWithinPartitions("shard", "slot").select("shard", record.alias("value")).write.partitionBy("shard").text(f"{path}/shards")
+        whole.sortWithinPartitions("shard", "number").select("shard", record.alias("value")).write.partitionBy("shard").text(f"{path}/shards")
     return path
 
 
+def shards(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
+    """``(shard, first slot, slots)`` of every shard file, from the files' lengths alone."""
+    about = spark.read.json(f"{path}/manifest").first()
+    if not about["numbers"]:
+        return []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
+    number = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("bigint")
+    rows = files.select(number.alias("shard"), (F.col("length") / (2 * about["sequence_tokens"] + 1)).cast("bigint")).collect()
+    out, at = [], 0
+    for shard, n in sorted(map(tuple, rows)):
+        out.append((shard, at, n))
+        at += n
+    return out
+
+
 def read(spark: SparkSession, path: str, from_slot: int = 0) -> DataFrame:
     """``(slot, shard, byte_offset, tokens)`` from a slot on, ``tokens`` as two bytes each; earlier shards stay unread."""
-    about = spark.read.json(f"{path}/manifest").first()
-    if not about["sequences"]:
+    wanted = [(shard, first, max(0, from_slot - first)) for shard, first, n in shards(spark, path) if first + n > from_slot]
+    if not wanted:
         return spark.createDataFrame([], "slot bigint, shard bigint, byte_offset bigint, tokens binary")
-    each, stride = about["shard_sequences"], 2 * about["sequence_tokens"] + 1
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
-    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("bigint")
-    files = files.select(shard.alias("shard"), "content").filter(F.col("shard") >= from_slot // each)
-    first = F.when(F.col("shard") == from_slot // each, F.lit(from_slot % each)).otherwise(F.lit(0))
-    rows = files.select("shard", "content", F.explode(F.sequence(first, (F.length("content") / stride).cast("int") - 1)).alias("k"))
+    stride = 2 * spark.read.json(f"{path}/manifest").first()["sequence_tokens"] + 1
+    files = spark.read.format("binaryFile").load([f"{path}/shards/shard={shard}" for shard, _, _ in wanted])
+    number = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("bigint")
+    places = spark.createDataFrame(wanted, "shard bigint, first bigint, skip int")
+    files = files.select(number.alias("shard"), "content").join(F.broadcast(places), "shard")
+    rows = files.select("shard", "first", "content", F.explode(F.sequence(F.col("skip"), (F.length("content") / stride).cast("int") - 1)).alias("k"))
     return rows.select(
-        (F.col("shard") * each + F.col("k")).alias("slot"),
+        (F.col("first") + F.col("k")).alias("slot"),
         "shard",
         (F.col("k") * F.lit(stride)).cast("bigint").alias("byte_offset"),
         F.substring("content", F.col("k") * stride + 1, F.lit(stride - 1)).alias("tokens"),
