@@ -4,7 +4,10 @@ Words are lower-cased and freed of punctuation; numbers, names and units become
 templates, and windows of ``WINDOW`` template words are hash-joined between documents and benchmark items. Windows on
 one diagonal (same distance between the places) are one alignment. It counts only if its slots are consistent: each
 value of the item stands for one value of the document and the other way round. So a question is caught whose numbers
-or names were exchanged, but not chance meetings of templates.
+or names were exchanged, but not chance meetings of templates. Windows with few literal words are no templates.
+
+Beside them windows of the plain lower-cased words are joined the same way, so a verbatim copy is caught whatever its
+slots and whatever its case.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +32,16 @@ UNITS = (
 ).split()
 WINDOW = 8
 LEAST_LITERAL = 5
+# Items of fewer words are not sought.
+LEAST_WORDS = 5
 # What must be found of an item in a document: this share of its windows, or a passage of 13 words if that is less.
 COVERED = 0.5
 PASSAGE_WINDOWS = 13 - WINDOW + 1
 # Bits of the first filter: 2 MB, whatever the size of the benchmark.
 FILTER_BITS = 24
 
-SCHEMA = "id bigint, hash bigint, at bigint, windows bigint, slots array<bigint>"
+FOUND = "id bigint, hash bigint, at bigint, slots array<bigint>"
+SCHEMA = f"{FOUND}, literal boolean, windows bigint, templates bigint, size bigint"
 _NUMBER, _NAME, _UNIT, _BOTH = (np.uint64(0x5BD1E9955BD1E995 * k % (1 << 64)) for k in (3, 5, 7, 11))
 _KEPT = w.SPACE.copy()
 _KEPT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -61,6 +68,22 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+def _lowered(piece: w.Piece) -> w.Piece:
+    """Letters beyond ASCII lower-cased too; bytes that are no UTF-8 stay."""
+    if not len(piece.data) or piece.data.max() < 128:
+        return piece
+    bounds = np.ascontiguousarray(piece.bounds, np.int64)
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(piece.data))]
+    try:
+        low = pc.utf8_lower(pa.Array.from_buffers(pa.large_string(), piece.rows, buffers))
+        ends = np.frombuffer(low.buffers()[1], np.int64)[: piece.rows + 1]
+        return w.Piece(np.frombuffer(low.buffers()[2], np.uint8)[: ends[-1]], ends, piece.lo)
+    except pa.ArrowInvalid:
+        raw = piece.data.tobytes()
+        rows = [raw[a:b].decode(errors="surrogateescape").lower().encode(errors="surrogateescape") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return w.Piece(np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)]), piece.lo)
+
+
 class Template:
     """Template words of a piece: their hashes, which of them are slots, and the hashes of the plain words."""
 
@@ -69,7 +92,7 @@ class Template:
         where = np.flatnonzero(kept)
         count = np.concatenate([[0], np.cumsum(kept)])
         self.words = words = w.Piece(w.LOWER[piece.data[kept]], count[piece.bounds], piece.lo).words()
-        self.plain = words.hashes()
+        self.plain = _lowered(words.piece).words().hashes()
         start, end = words.start, words.end
         if not len(words):
             self.hashes, self.slot = self.plain, np.zeros(0, bool)
@@ -98,34 +121,38 @@ class Template:
         self.slot = number | both | unit | name
         self.hashes = np.select([number, both, unit, name], [_NUMBER, _BOTH, _UNIT, _NAME], self.plain)
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the windows of a size that lie in one row and hold enough literal words."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, hashes and numbers of slots of the windows of a size within one row, and which have enough literal words.
+
+        Each window stands for its plain words, without slots, and again for its template if it has slots and enough
+        literal words.
+        """
         row = self.words.row
         if len(row) < size:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            none = np.zeros(0, np.int64)
+            return none, np.zeros(0, np.uint64), none, np.zeros(0, bool)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
-        literal = size - (slots[size:] - slots[:-size])
-        at = np.flatnonzero((row[: len(row) - size + 1] == row[size - 1 :]) & (literal >= min(size, LEAST_LITERAL)))
-        return at, w.grams(self.hashes, size)[at]
+        n = slots[size:] - slots[:-size]
+        literal = size - n >= min(size, LEAST_LITERAL)
+        inside = row[: len(row) - size + 1] == row[size - 1 :]
+        plain, filled = np.flatnonzero(inside), np.flatnonzero(inside & literal & (n > 0))
+        at = np.concatenate([plain, filled])
+        hashes = np.concatenate([w.grams(self.plain, size)[plain], w.grams(self.hashes, size)[filled]])
+        return at, hashes, np.concatenate([np.zeros(len(plain), np.int64), n[filled]]), literal[at]
 
 
-def _rows(ids: pa.Array, piece: w.Piece, own: Template, at: np.ndarray, hashes: np.ndarray, size: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+def _columns(ids: pa.Array, piece: w.Piece, own: Template, at: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> list[pa.Array]:
     """A row per window, with the plain hashes of its slots."""
     row = own.words.row[at]
-    inside = np.concatenate([[0], np.cumsum(own.slot)])
-    n = inside[at + size] - inside[at]
+    before = np.concatenate([[0], np.cumsum(own.slot)])[at]
     values = own.plain[own.slot]
-    index = np.repeat(inside[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            ids.slice(piece.lo, piece.rows).take(pa.array(row)),
-            w.longs(w.as_long(hashes)),
-            w.longs(at - own.words.first[row]),
-            w.longs(total),
-            w.lists(w.longs(w.as_long(values[index])), n),
-        ],
-        names=["id", "hash", "at", "windows", "slots"],
-    )
+    index = np.repeat(before - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else np.zeros(0, np.int64)
+    return [
+        ids.slice(piece.lo, piece.rows).take(pa.array(row)),
+        w.longs(w.as_long(hashes)),
+        w.longs(at - own.words.first[row]),
+        w.lists(w.longs(w.as_long(values[index])), n),
+    ]
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +161,19 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in w.pieces(batch.column(1)):
             own = Template(piece)
             counts = own.words.counts
-            at, hashes = own.windows(WINDOW)
-            total = np.bincount(own.words.row[at], minlength=piece.rows)
-            parts = [(at, hashes, np.full(len(at), WINDOW))]
-            for size in range(LEAST_LITERAL, WINDOW):
-                at, hashes = own.windows(size)
-                short = counts[own.words.row[at]] == size
-                parts.append((at[short], hashes[short], np.full(short.sum(), size)))
-            at, hashes, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-            yield _rows(batch.column(0), piece, own, at, hashes, size, np.maximum(total[own.words.row[at]], 1) if len(at) else at)
+            parts = []
+            for size in range(LEAST_WORDS, WINDOW + 1):
+                windows = own.windows(size)
+                chosen = (counts[own.words.row[windows[0]]] == size) | (size == WINDOW)
+                parts.append((*(x[chosen] for x in windows), np.full(chosen.sum(), size)))
+            at, hashes, n, literal, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+            row = own.words.row[at]
+            windows = np.bincount(row[n == 0], minlength=piece.rows)
+            templates = np.bincount(row[(n == 0) & literal], minlength=piece.rows)
+            yield pa.RecordBatch.from_arrays(
+                [*_columns(batch.column(0), piece, own, at, hashes, n), pa.array(literal), w.longs(windows[row]), w.longs(templates[row]), w.longs(size)],
+                names=["id", "hash", "at", "slots", "literal", "windows", "templates", "size"],
+            )
 
 
 def contaminated(
@@ -151,6 +182,10 @@ def contaminated(
     """``(doc_id, item_id, covered, exchanged)``: items found in documents, the share of their windows found, and
     whether slot values differ from the item's.
 
+    The share is of all windows, or of those with at least five literal words if that is more. Words are compared in
+    lower case, letter by letter; an item whose slots were exchanged is found only where names keep their capitals, and
+    by its windows with at least five literal words.
+
     Null and empty texts hold nothing; items of fewer than five words are not sought. Rows without an id are not
     reported. Rows that repeat an id count as one document. An empty benchmark or table gives no rows.
     """
@@ -163,8 +198,7 @@ def contaminated(
         lo = (row["k"] - 1) * 4096
         packed[lo : lo + 4096] = np.frombuffer(row["bits"], np.uint8)
     bytes_of_filter = packed.tobytes()
-    # Items of one window may be shorter than a window.
-    sizes = (WINDOW,) if items.filter("windows = 1").isEmpty() else (WINDOW, *range(LEAST_LITERAL, WINDOW))
+    sizes = sorted(row["size"] for row in items.select("size").distinct().collect()) or [WINDOW]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bytes_of_filter, np.uint8)
@@ -173,26 +207,31 @@ def contaminated(
                 own = Template(piece)
                 parts = []
                 for size in sizes:
-                    at, hashes = own.windows(size)
+                    at, hashes, n, _ = own.windows(size)
                     number = w.as_long(hashes) % (1 << FILTER_BITS)
                     hit = (table[number >> 3] >> (number & 7).astype(np.uint8)) & 1 == 1
-                    parts.append((at[hit], hashes[hit], np.full(hit.sum(), size)))
-                at, hashes, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield _rows(batch.column(0), piece, own, at, hashes, size, at)
+                    parts.append((at[hit], hashes[hit], n[hit]))
+                at, hashes, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays(_columns(batch.column(0), piece, own, at, hashes, n), names=["id", "hash", "at", "slots"])
 
-    places = texts_of(docs, id_col, text_col).dropna().mapInArrow(found, SCHEMA).select(F.col("id").alias("doc_id"), "hash", "at", "slots")
-    item = items.select(F.col("id").alias("item_id"), "hash", F.col("at").alias("item_at"), "windows", F.col("slots").alias("item_slots"))
+    places = texts_of(docs, id_col, text_col).dropna().mapInArrow(found, FOUND).withColumnRenamed("id", "doc_id")
+    item = items.select(
+        F.col("id").alias("item_id"), "hash", F.col("at").alias("item_at"), "literal", "windows", "templates", F.col("slots").alias("item_slots")
+    )
     met = places.join(item, "hash").filter(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
-    lines = met.groupBy("doc_id", "item_id", "windows", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    lines = met.groupBy("doc_id", "item_id", "windows", "templates", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+        F.collect_set(F.struct("item_at", "literal")).alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     one = lambda side: F.size(F.array_distinct(F.col("pairs").getField(side)))
     consistent = lines.filter((one("item") == F.size("pairs")) & (one("doc") == F.size("pairs")))
-    out = consistent.groupBy("doc_id", "item_id", "windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
+    out = consistent.groupBy("doc_id", "item_id", "windows", "templates").agg(
+        F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
         F.max(F.exists("pairs", lambda x: x["item"] != x["doc"])).alias("exchanged"),
     )
-    return out.filter(F.col("n") >= F.least(F.lit(COVERED) * F.col("windows"), F.lit(PASSAGE_WINDOWS))).select(
-        "doc_id", "item_id", (F.col("n") / F.col("windows")).alias("covered"), "exchanged"
+    out = out.withColumn("n", F.size("places")).withColumn("n_templates", F.size(F.filter("places", lambda x: x["literal"])))
+    enough = lambda n, of: (F.col(n) > 0) & (F.col(n) >= F.least(F.lit(COVERED) * F.col(of), F.lit(PASSAGE_WINDOWS)))
+    share = lambda n, of: F.col(n) / F.nullif(F.col(of), F.lit(0))
+    return out.filter(enough("n", "windows") | enough("n_templates", "templates")).select(
+        "doc_id", "item_id", F.greatest(share("n", "windows"), share("n_templates", "templates")).alias("covered"), "exchanged"
     )

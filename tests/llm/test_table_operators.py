@@ -115,6 +115,24 @@ def test_templates(spark, empty):
     assert decontaminate.contaminated(empty, benchmark).count() == 0
 
 
+def test_verbatim_items(spark):
+    """Copies are found whatever their slots and case; slots do not make up for other words."""
+    rows = "Add 17 and 25 then 31 minus 8 by 4 over 2 and 96 less 5 or 7"
+    items = {
+        1: "What is 12 plus 7 minus 3", 2: rows, 3: "1 2 3 4 5 6 7 8 9",
+        4: "Did Ann Lee or Bob Ray or Élodie Noël meet Tom Fox near Old York", 5: "4 5 6 7 8",
+    }
+    docs = [
+        (1, "x " + items[1] + "? y"), (2, "so " + rows.lower() + " it is"), (3, "n 1 2 3 4, 5 6 7 8 9 n"), (4, items[4].lower()), (5, items[4].upper()),
+        (6, "What is 12 plus 7 minus 4"), (7, "Add 1 and 2 then 3 minus 4 by 5 over 6 and 7 less 8 or 9"), (8, "9 8 7 6 5 4 3 2 1"), (9, "did ann lee or bob ray"),
+    ]
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    )
+    got = {(r.doc_id, r.item_id, r.covered, r.exchanged) for r in got.collect()}
+    assert got == {(1, 1, 1.0, False), (2, 2, 1.0, False), (3, 3, 1.0, False), (3, 5, 1.0, False), (4, 4, 1.0, False), (5, 4, 1.0, False)}
+
+
 def test_decontaminate_awkward(awkward, spark):
     benchmark = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20, 50)))], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward, benchmark).collect()}
