@@ -2,12 +2,12 @@
 
 Words are lower-cased and freed of punctuation; numbers, names and units become typed placeholders. What is left are
 templates, and windows of ``WINDOW`` template words are hash-joined between documents and benchmark items. Windows on
-one diagonal (same distance between the places) are one alignment. It counts only if its slots are consistent: each
-value of the item stands for one value of the document and the other way round. So a question is caught whose numbers
+one diagonal (same distance between the places) with other values in their slots are one alignment. It counts only if
+its slots are consistent: each value of the item stands for one value of the document and the other way round. So a question is caught whose numbers
 or names were exchanged, but not chance meetings of templates. Windows with few literal words are no templates.
 
 Beside them windows of the plain lower-cased words are joined the same way, so a verbatim copy is caught whatever its
-slots and whatever its case.
+slots and whatever its case. These count always, also where values elsewhere are inconsistent.
 """
 
 from __future__ import annotations
@@ -212,6 +212,13 @@ def contaminated(
                     hit = (table[number >> 3] >> (number & 7).astype(np.uint8)) & 1 == 1
                     parts.append((at[hit], hashes[hit], n[hit]))
                 at, hashes, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                # Plain words that a document repeats count once.
+                row = own.words.row[at]
+                order = np.lexsort((hashes, row))
+                new = np.ones(len(at), bool)
+                new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
+                once = order[new | (n[order] > 0)]
+                at, hashes, n = at[once], hashes[once], n[once]
                 yield pa.RecordBatch.from_arrays(_columns(batch.column(0), piece, own, at, hashes, n), names=["id", "hash", "at", "slots"])
 
     places = texts_of(docs, id_col, text_col).dropna().mapInArrow(found, FOUND).withColumnRenamed("id", "doc_id")
@@ -219,8 +226,11 @@ def contaminated(
         F.col("id").alias("item_id"), "hash", F.col("at").alias("item_at"), "literal", "windows", "templates", F.col("slots").alias("item_slots")
     )
     met = places.join(item, "hash").filter(F.size("slots") == F.size("item_slots"))
+    # Windows of equal values meet as plain words, without slots and whatever their diagonal.
+    met = met.filter((F.size("slots") == 0) | (F.col("slots") != F.col("item_slots")))
+    diagonal = F.when(F.size("slots") > 0, F.col("at") - F.col("item_at"))
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
-    lines = met.groupBy("doc_id", "item_id", "windows", "templates", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+    lines = met.groupBy("doc_id", "item_id", "windows", "templates", diagonal.alias("diagonal")).agg(
         F.collect_set(F.struct("item_at", "literal")).alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     one = lambda side: F.size(F.array_distinct(F.col("pairs").getField(side)))

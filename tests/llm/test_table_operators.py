@@ -133,6 +133,19 @@ def test_verbatim_items(spark):
     assert got == {(1, 1, 1.0, False), (2, 2, 1.0, False), (3, 3, 1.0, False), (3, 5, 1.0, False), (4, 4, 1.0, False), (5, 4, 1.0, False)}
 
 
+def test_near_copies_of_items(spark):
+    """A value that clashes elsewhere does not void passages that are word for word the item's."""
+    words = [f"word{'abcdefghijklmnopqrstuvwxyz'[k % 26]}{'abcdefghijklmnopqrstuvwxyz'[k // 26]}" for k in range(90)]
+    item = " ".join([*words[:20], "5", *words[20:60], "3", *words[60:70], "4", *words[70:], "5"])
+    docs = [(1, item[:-1] + "6"), (2, item.replace(" 3 ", " 7 ").replace(" 4 ", " 7 ")), (3, item.replace(" 5", " 6"))]
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    )
+    got = {r.doc_id: r for r in got.collect()}
+    assert set(got) == {1, 2, 3} and got[1].covered == got[3].covered == 1 and 0.7 < got[2].covered < 1
+    assert got[1].exchanged and got[3].exchanged and not got[2].exchanged
+
+
 def test_decontaminate_awkward(awkward, spark):
     benchmark = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20, 50)))], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward, benchmark).collect()}
