@@ -90,7 +90,7 @@ def allot(sized: DataFrame) -> DataFrame:
     counts = rows.groupBy("source", "rest", "bucket").agg(F.sum("size").alias("in_bucket"))
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = counts.withColumn("upto", F.sum("in_bucket").over(running)).withColumn("before", F.col("upto") - F.col("in_bucket"))
-    edge = edges.filter("before < rest AND upto > rest").groupBy("source").agg(F.min("bucket").alias("edge"), F.min_by("before", "bucket").alias("before"))
+    edge = edges.filter("before < rest AND upto >= rest").groupBy("source").agg(F.min("bucket").alias("edge"), F.min_by("before", "bucket").alias("before"))
     edge = saved(edge, "mix-edges")
     a, b = rows.drop("bucket_before").alias("a"), edge.alias("b")
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.edge"))

@@ -210,6 +210,16 @@ def test_mix_hot_source(spark):
     assert all(abs(taken[s] - want[s]) <= 7 for s in sizes)
 
 
+def test_mix_cut_on_the_target(spark):
+    """Documents of one size whose running sum meets the target exactly: no document more is taken."""
+    docs = [(i, "w " * 10, "ab"[i % 2]) for i in range(30)]
+    got = mix.mix(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()
+    taken: dict = defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+    assert taken == {"a": 100, "b": 200}
+
+
 def test_url_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     for r in queries.op10_url_filter(spark, SF_DIR).collect():
