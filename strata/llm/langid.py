@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.store import texts_of
 
-# Learning is bounded per language: so many texts, none longer than so many characters, so many bytes in the end.
+# Learning is bounded per language: so many texts, so many characters of each, so many bytes in the end. A longer text
+# gives so many blocks, spread evenly from its beginning to its end.
 SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 4000, 112 * 1024
+SAMPLE_BLOCKS = 4
 BLOCK_CHARS = 4000
 LEVEL = 6
 # A text is accepted if the next best dictionary needs so much more.
@@ -38,15 +40,23 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 3 == 1
 
 
+def excerpt(text: Column) -> Column:
+    """A text of at most ``SAMPLE_CHARS`` characters, else ``SAMPLE_BLOCKS`` blocks of it, as many characters in all."""
+    size = SAMPLE_CHARS // SAMPLE_BLOCKS
+    last = (F.length(text) - size).cast("bigint")
+    start = [(F.floor(last * k / (SAMPLE_BLOCKS - 1)) + 1).cast("int") for k in range(SAMPLE_BLOCKS)]
+    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(F.concat_ws(" ", *(text.substr(at, F.lit(size)) for at in start)))
+
+
 def dictionaries(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """Dictionary bytes by language, the most frequent first, from rows chosen by the hash of their text.
 
-    Null labels and texts teach nothing.
+    Texts of any length are chosen; a long one teaches by its excerpt. Null labels and texts teach nothing.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.filter(f"lang IS NOT NULL AND text IS NOT NULL AND length(text) BETWEEN 1 AND {SAMPLE_CHARS}")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_TEXTS).orderBy("lang", "k").collect()
+    rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    sample = rows.select("lang", F.xxhash64("text").alias("hash"), excerpt(F.col("text")).alias("text")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_TEXTS).orderBy("lang", "k").collect()
     frequent = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
     parts: dict[str, list[str]] = {}
     for row in sample:

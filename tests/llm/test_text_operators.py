@@ -109,6 +109,22 @@ def test_language_awkward(awkward, empty, pairs):
     assert {r.lang_pred for r in langid.languages(awkward, langid.dictionaries(empty)).collect()} == {"und"}
 
 
+def test_language_of_long_texts(spark):
+    """A language is learned from texts of any length, and ties go by all of them."""
+    def text(lang, i, n):
+        return " ".join(f"{lang}{'abcdefghij'[(i + k) % 10]}{'klmnopqrst'[(k * k + i) % 10]}" for k in range(n))
+
+    rows = [(lang, text(word, i, n)) for lang, word, n, count in (("s", "eri", 50, 20), ("l", "uvo", 3000, 30)) for i in range(count)]
+    learned = langid.dictionaries(spark.createDataFrame(rows, "lang string, text string"))
+    assert list(learned) == ["l", "s"]
+    assert all(len(content) <= langid.DICTIONARY_BYTES for content in learned.values())
+    docs = spark.createDataFrame([(1, text("uvo", 77, 40)), (2, text("eri", 77, 40))], "doc_id bigint, text string")
+    assert {(r.doc_id, r.lang_pred) for r in langid.languages(docs, learned).collect()} == {(1, "l"), (2, "s")}
+    parts = [f"{k:04d}" for k in range(3000)]
+    got = spark.createDataFrame([("".join(parts),)], "text string").select(langid.excerpt(F.col("text")).alias("x")).first().x
+    assert got.startswith("0000") and got.endswith("2999") and len(got) == langid.SAMPLE_CHARS + langid.SAMPLE_BLOCKS - 1
+
+
 def test_licences_query(spark, texts):
     got = {r.doc_id: tuple(r)[1:6] for r in queries.op8_licences(spark, SF_DIR).collect()}
     assert got == {i: brute.licences(t) for i, t in texts}
