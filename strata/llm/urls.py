@@ -25,7 +25,6 @@ RULES = (
 BAD = "label bad"
 # A rule holds for so many labelled URLs at least, and for that share of them the label is bad.
 LEAST_URLS, SUPPORT, CONFIDENCE = 10, 0.0005, 0.6
-MOST_TOKENS = 4
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -77,7 +76,7 @@ def mine(labelled: DataFrame) -> DataFrame:
     if not n:
         return items.sparkSession.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=max(SUPPORT, min(1.0, LEAST_URLS * CONFIDENCE / n)), minConfidence=CONFIDENCE).fit(items)
-    found = model.associationRules.filter(F.element_at("consequent", 1) == BAD).filter(F.size("antecedent") <= MOST_TOKENS)
+    found = model.associationRules.filter(F.element_at("consequent", 1) == BAD)
     found = saved(found.select(F.array_sort("antecedent").alias("rule_tokens"), "confidence"), "url-rules")
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     # A longer rule stays only if it is surer than each shorter one within it; those meet it at one of their own tokens.

@@ -251,6 +251,15 @@ def test_url_rules_are_mined(spark):
     assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 600, 5))
 
 
+def test_url_rules_of_many_tokens(spark):
+    """Only all five parts of a path together go with the label."""
+    parts = "abcde"
+    paths = [parts] * 40 + [parts.replace(x, "") for x in parts for _ in range(40)]
+    pages = spark.createDataFrame([(i, f"h://x/{'/'.join(p)}") for i, p in enumerate(paths)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, p == parts) for i, p in enumerate(paths)], "page_id bigint, bad boolean")
+    assert {r.page_id for r in urls.url_filter(pages, labels).collect() if r.verdict == "block"} == set(range(40))
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1040)] + [(2000, k) for k in range(2001, 2100)]
