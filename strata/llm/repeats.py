@@ -269,12 +269,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     dealt = rows.repartition("key").sortWithinPartitions("is_text").drop("key")
     located = saved(dealt.mapInArrow(_located, LOCATED), "repeats-located")
-    pending = located.filter("text IS NOT NULL")
-    shown = pending.select("doc_id", F.inline("windows"))
+    # Rows may share an id, but not with another text.
+    row = ["doc_id", "n_words", "text_hash"]
+    pending = located.filter("text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    shown = pending.select(*row, F.inline("windows"))
     first = shown.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     again = (
-        shown.join(first.hint("merge"), ["a", "b"]).filter("doc_id > first").groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+        shown.join(first.hint("merge"), ["a", "b"]).filter("doc_id > first").groupBy(*row).agg(F.collect_list("start").alias("starts"))
     )
-    finished = pending.select("doc_id", "n_words", "spans", "text").join(again.hint("merge"), "doc_id", "left")
+    finished = pending.select(*row, "spans", "text").join(again.hint("merge"), row, "left")
     done = finished.mapInArrow(_finished, "doc_id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, kept string")
     return located.filter("text IS NULL").select("doc_id", "n_words", "spans", "kept").unionByName(done)

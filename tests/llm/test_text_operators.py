@@ -39,6 +39,16 @@ def test_repeats_windows_of_several_documents(spark):
     assert {(r.doc_id, r.n_words, r.h) for r in got} == {(i, n, h) for i, n, _, h in brute.repeats(docs)}
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """Each row loses its own windows only, whatever else stands under its id."""
+    a = [f"a{i}" for i in range(80)]
+    docs = [(1, " ".join(a)), (2, " ".join([f"x{i}" for i in range(120)] + a[5:70])), (2, " ".join(a[15:68] + ["y1", "y2", "y3"])),
+            (3, " ".join(["z"] + a[20:75]))]
+    got = repeats.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    got = got.select("doc_id", "n_words", F.sha2("kept", 256).alias("h")).collect()
+    assert {(r.doc_id, r.n_words, r.h) for r in got} == {(i, n, h) for i, n, _, h in brute.repeats(docs)}
+
+
 def test_near_query(spark, texts):
     assert set(map(tuple, queries.op6_near_duplicates(spark, SF_DIR).collect())) == brute.near(texts)
 
