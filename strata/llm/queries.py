@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, langid, licences, mix, near, order, pii, repeats, rules, urls
+from strata.llm import decontaminate, extract, fim, langid, licences, mix, near, order, pii, repeats, rules, search, urls
 from strata.llm.store import table
 from strata.session import scratch_path
 
@@ -118,3 +118,73 @@ FROM ordered
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
     return urls.url_filter(table(spark, sf_dir, "pages"), labels)
+
+
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extract.main_text(pages, extract.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_blocks", "n_main")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256), F.sha2(fim.restored(F.col("output"), F.col("form")), 256)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digests[0].alias("output_sha256"), digests[1].alias("restored_sha256"),
+    )
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
+), drawn AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT % (len(u) + 1) AS a,
+    ('0x' || substr(d, 9, 8))::BIGINT % (len(u) + 1) AS b,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(d, 17, 8))::BIGINT % 100 >= 90 AS plain,
+    ('0x' || substr(d, 25, 8))::BIGINT % 100 < 20 AS spm FROM cut
+), pieces AS (
+  SELECT *, array_to_string(u[:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS s FROM drawn
+)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN NOT plain THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END)
+    AS output_sha256, sha256(t) AS restored_sha256
+FROM pieces
+"""
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""
+  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')
+"""
+ORACLE["op13_search"] = f"""
+WITH terms AS (
+  SELECT doc_id, unnest({_TERMS}) AS term FROM documents
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), total AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM counted CROSS JOIN total GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // len))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) CROSS JOIN total GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
