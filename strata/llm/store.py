@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path, ship_package
+from strata.session import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITIONS, scratch_path, ship_package
+
+# Stored bytes of whole texts that one Python worker takes, together with what it keeps of them.
+PART_BYTES = 64 * 1024 * 1024
+# Above this Spark does not know a size.
+_UNKNOWN = 1 << 60
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -18,6 +23,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Into how many parts to deal rows out: as many as the stored bytes of ``df`` call for, the session's number at least."""
+    spark = df.sparkSession
+    usual = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return usual if stored > _UNKNOWN else min(max(usual, -(-stored // part_bytes)), MAX_SHUFFLE_PARTITIONS)
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and whole text under fixed names, so that clashing extra columns do not matter."""
     ship_package(docs.sparkSession)

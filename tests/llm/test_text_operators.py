@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -49,6 +50,39 @@ def test_repeats_of_rows_that_share_an_id(spark):
     assert {(r.doc_id, r.n_words, r.h) for r in got} == {(i, n, h) for i, n, _, h in brute.repeats(docs)}
 
 
+def test_repeats_few_documents_show_windows(spark):
+    """A phrase that all documents hold between other words opens no context; only copies changed on one side do."""
+    phrase = " ".join(f"p{i}" for i in range(30))
+    docs = [(k, " ".join(f"l{k}x{i}" for i in range(60)) + f" {phrase} " + " ".join(f"r{k}x{i}" for i in range(60))) for k in range(40)]
+    changed = docs[7][1].split()
+    changed[100] = "other"
+    docs.append((40, " ".join(changed)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    opened = {r.doc_id for r in repeats.recurring(frame).filter("open").select("doc_id").collect()}
+    assert opened == {7, 40}
+    got = repeats.repeated_passages(frame).select("doc_id", "n_words", F.sha2("kept", 256).alias("h")).collect()
+    assert {(r.doc_id, r.n_words, r.h) for r in got} == {(i, n, h) for i, n, _, h in brute.repeats(docs)}
+
+
+def test_repeats_of_edited_copies(spark):
+    """Copies with words changed, moved or dropped anywhere, against brute force."""
+    pick = random.Random(11)
+    docs = []
+    for k in range(60):
+        if k < 6:
+            own = [f"w{pick.randrange(40)}" for _ in range(pick.randint(55, 300))]
+        else:
+            a, b = pick.choice(docs)[1].split(), pick.choice(docs)[1].split()
+            cut = pick.randrange(len(a))
+            own = a[:cut] + b[pick.randrange(len(b)) :] + [f"x{k}"] * pick.randrange(3)
+            for _ in range(pick.randrange(4)):
+                own[pick.randrange(len(own))] = f"y{pick.randrange(5)}"
+        docs.append((k, " ".join(own)))
+    got = repeats.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    got = got.select("doc_id", "n_words", F.sha2("kept", 256).alias("h")).collect()
+    assert {(r.doc_id, r.n_words, r.h) for r in got} == {(i, n, h) for i, n, _, h in brute.repeats(docs)}
+
+
 def test_near_query(spark, texts):
     assert set(map(tuple, queries.op6_near_duplicates(spark, SF_DIR).collect())) == brute.near(texts)
 
