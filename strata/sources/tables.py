@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.naming import by_position, col
+from strata.sources import widen
 
 # Parquet stores these as one physical integer, so a narrower one fits a wider one.
 _INT_FAMILY = (T.ByteType, T.ShortType, T.IntegerType)
@@ -30,6 +33,8 @@ def read_layer(
     off its directory names. With the written schema both are as written.
     """
     reader = spark.read.format(fmt)
+    if fmt == "parquet":
+        path_exists(spark, path)
     if schema is None:
         return reader.load(path)
     return reader.schema(schema).load(path).select(*[col(f.name) for f in schema])
@@ -48,9 +53,72 @@ def layer_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on any file system Spark can reach."""
+    """Whether a file or folder exists, on any file system Spark can reach.
+
+    Where a replacement was cut off between its two renames, the new table is put in place first.
+    """
+    fs, target = _at(spark, path)
+    if fs.exists(target):
+        return True
+    ready = _beside(spark, path, "ready")
+    # Its writer, or another reader, may be faster; then the table is there as well.
+    return bool(ready) and (_renamed(fs, ready[0], target) or fs.exists(target))
+
+
+def _at(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(target)
+
+
+def _named_beside(spark: SparkSession, path: str, kind: str, name: str):
+    """A folder next to the table, on the same file system; the leading dot hides it from every scan."""
+    _, target = _at(spark, path)
+    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{kind}-{name}")
+
+
+def _beside(spark: SparkSession, path: str, kind: str) -> list:
+    """What earlier writes left next to a table."""
+    fs, target = _at(spark, path)
+    if not fs.exists(target.getParent()):
+        return []
+    prefix = f".{target.getName()}.{kind}-"
+    found = [status.getPath() for status in fs.listStatus(target.getParent())]
+    return sorted((p for p in found if p.getName().startswith(prefix)), key=lambda p: p.getName())
+
+
+def _renamed(fs, source, target) -> bool:
+    try:
+        return fs.rename(source, target)
+    except Exception as error:
+        if "FileNotFoundException" in str(error):
+            return False
+        raise
+
+
+def _settle(spark: SparkSession, path: str) -> None:
+    """Finish or undo what a lost writer of this table left: a whole new table is put in place, the rest goes."""
+    for ready in _beside(spark, path, "ready"):
+        _swap(spark, path, ready)
+    fs, target = _at(spark, path)
+    former = _beside(spark, path, "old")
+    if former and not fs.exists(target):
+        _renamed(fs, former.pop(), target)
+    for leftover in former + _beside(spark, path, "new"):
+        fs.delete(leftover, True)
+
+
+def _swap(spark: SparkSession, path: str, ready) -> None:
+    """Put a whole table in the place of the former one, which goes last."""
+    fs, target = _at(spark, path)
+    old = _named_beside(spark, path, "old", uuid.uuid4().hex)
+    replaced = fs.exists(target) and _renamed(fs, target, old)
+    if not _renamed(fs, ready, target) and not fs.exists(target):
+        if replaced:
+            _renamed(fs, old, target)
+        raise OSError(f"the new table could not be put at {path}")
+    if replaced:
+        fs.delete(old, True)
 
 
 def scan_files(
@@ -59,10 +127,12 @@ def scan_files(
     schema: T.StructType | None = None,
     strict: bool = True,
     skipped: list[str] | None = None,
+    widened: bool = False,
 ) -> DataFrame:
     """Concatenate all Parquet files below ``paths`` by column name; absent columns are null.
 
-    Paths without files count as empty. An unreadable path, or files whose types cannot be merged, raise. With
+    With ``widened=True`` columns whose type differs among files get the type that holds the values of all (see
+    :func:`strata.sources.widen.wider`), and :func:`type_clashes` tells which. Paths without files count as empty. An unreadable path, or files whose types cannot be merged, raise. With
     ``strict=False`` such a path is left out as a whole and its name is appended to ``skipped``, which must be given.
     Without ``schema`` the footers of all files are read to merge their columns.
     """
@@ -74,7 +144,7 @@ def scan_files(
         if not path_exists(spark, path):
             continue
         try:
-            frames.append(reader.parquet(path))
+            frames += _by_schema(spark, path) if widened and schema is None else [reader.parquet(path)]
         except Exception as error:
             if _has_no_data(error):
                 continue
@@ -83,7 +153,51 @@ def scan_files(
             skipped.append(path)
     if not frames:
         return spark.createDataFrame([], schema or T.StructType([]))
-    return union_all(frames)
+    return widen.union_widened(frames) if widened else union_all(frames)
+
+
+def type_clashes(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(column, types, merged)``: columns whose type differs among the Parquet files below ``paths``, and the wider type."""
+    frames = [df for path in paths if path_exists(spark, path) for df in _by_schema(spark, path)]
+    if not frames:
+        return spark.createDataFrame([], "column string, types array<string>, merged string")
+    return widen.clashes(frames)
+
+
+def _by_schema(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Scans of the files below a path, as many as it takes to keep files apart whose types cannot be merged.
+
+    Executors read the footers. Where they clash, the files are halved until each part merges, and equal schemas are
+    then read as one, so the jobs grow with the number of clashes, not of files.
+    """
+    whole = _merged(spark, path, [path])
+    if whole is not None:
+        return [whole]
+    parts: dict[str, list[str]] = {}
+    waiting = [sorted(unquote(name) for name in spark.read.schema("unread int").parquet(path).inputFiles())]
+    while waiting:
+        files = waiting.pop()
+        df = _merged(spark, path, files)
+        if df is not None:
+            parts.setdefault(df.schema.json(), []).extend(files)
+        elif len(files) == 1:
+            return [spark.read.option("mergeSchema", True).parquet(path)]
+        else:
+            waiting += [files[len(files) // 2 :], files[: len(files) // 2]]
+    return [_merged(spark, path, files) for files in parts.values()]
+
+
+def _merged(spark: SparkSession, path: str, files: list[str]) -> DataFrame | None:
+    """A scan of some files below a path, or None where their types differ."""
+    reader = spark.read.option("mergeSchema", True)
+    if files != [path]:
+        reader = reader.option("basePath", path)
+    try:
+        return reader.parquet(*files)
+    except Exception as error:
+        if "CANNOT_MERGE" in str(error) or "Failed merging schema" in str(error):
+            return None
+        raise
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -137,6 +251,12 @@ def write_layer(
 ) -> T.StructType:
     """Overwrite a layer table as a whole and return the schema written.
 
+    The new files are written beside the table and swapped in by two renames when they are whole, so a writer that
+    fails or is lost at any time leaves the former rows, and between the renames a reader puts the new table in place
+    itself. One writer per table at a time. A file system whose rename copies (an object store) keeps the former rows
+    until then as well, but the swap takes as long as the copy; a scan that still runs at the swap fails and is to be
+    repeated. Other formats than Parquet replace their tables themselves.
+
     The data must fit the table already there (see :func:`conform`).
     ``partition_by`` applies only where the column exists. Use
     :func:`spread_for_write` beforehand to keep the partition files few.
@@ -155,7 +275,22 @@ def write_layer(
         writer = writer.option("mergeSchema", str(merge_schema).lower())
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.save(path)
+    if fmt != "parquet":
+        writer.save(path)
+        return df.schema
+    _settle(spark, path)
+    fs, _ = _at(spark, path)
+    name = uuid.uuid4().hex
+    staged, ready = _named_beside(spark, path, "new", name), _named_beside(spark, path, "ready", name)
+    try:
+        # All partition values are written, whatever the session's overwrite mode.
+        writer.option("partitionOverwriteMode", "static").save(staged.toString())
+    except BaseException:
+        fs.delete(staged, True)
+        raise
+    if not _renamed(fs, staged, ready):
+        raise OSError(f"the table written for {path} is gone")
+    _swap(spark, path, ready)
     return df.schema
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,35 @@ def raw_union_scan(spark, sf_dir):
     return tables.scan_files(spark, f"{root}/a", f"{root}/b", f"{root}/absent")
 
 
+@query("""
+SELECT o_orderkey, CAST(floor(o_totalprice) AS DOUBLE) AS price, CAST(o_custkey AS VARCHAR) AS who, CAST(o_orderdate AS DATE)::TIMESTAMP AS day
+FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderdate FROM orders
+UNION ALL SELECT o_custkey, NULL, NULL, NULL FROM orders
+""")
+def raw_union_widened(spark, sf_dir):
+    """Two kinds of files in one folder, a third in another: whole and real numbers, numbers and texts, days and times."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "raw")
+    whole = orders.selectExpr("o_orderkey", "int(floor(o_totalprice)) AS price", "o_custkey AS who", "date(o_orderdate) AS day")
+    whole.write.parquet(f"{root}/a")
+    orders.selectExpr("o_orderkey", "o_totalprice AS price", "o_orderstatus AS who", "o_orderdate AS day").write.mode("append").parquet(f"{root}/a")
+    orders.selectExpr("int(o_custkey) AS o_orderkey").write.parquet(f"{root}/b")
+    return tables.scan_files(spark, f"{root}/a", f"{root}/b", f"{root}/absent", widened=True)
+
+
+@query("""
+SELECT * FROM (VALUES ('price', 'double,int', 'double'), ('who', 'bigint,string', 'string')) AS c("column", types, merged)
+WHERE EXISTS (SELECT 1 FROM orders)
+""")
+def raw_type_clashes(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "raw")
+    orders.selectExpr("o_orderkey", "int(floor(o_totalprice)) AS price", "o_custkey AS who").write.parquet(root)
+    orders.selectExpr("o_orderkey", "o_totalprice AS price", "o_orderstatus AS who").write.mode("append").parquet(root)
+    return tables.type_clashes(spark, root).withColumn("types", F.concat_ws(",", F.array_sort("types")))
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def partition_files_scan(spark, sf_dir):
     root = scratch_path(spark, "raw")
@@ -95,6 +125,21 @@ def overwrite_roundtrip(spark, sf_dir):
     return tables.read_layer(spark, path)
 
 
+@query(f"SELECT {_ORDERS} FROM orders")
+def overwrite_that_fails(spark, sf_dir):
+    """A writer that stops midway leaves the former rows, also in a partitioned table."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "layer")
+    schema = tables.write_layer(orders, path, partition_by="o_orderpriority")
+    stops = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("stopped midway"))).otherwise(F.col("o_orderstatus"))
+    try:
+        tables.write_layer(orders.withColumn("o_orderstatus", stops.cast("string")), path, partition_by="o_orderpriority")
+    except PySparkException as error:
+        if "stopped midway" not in str(error):
+            raise
+    return tables.read_layer(spark, path, schema=schema)
+
+
 @query("""
 SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN '01' WHEN 'O' THEN '02' ELSE '3.0' END AS part
 FROM orders
