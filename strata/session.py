@@ -50,13 +50,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "local")
-        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        if not has_scratch(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="strata-")
     return f"{base.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"
 
 
+def has_scratch(spark: SparkSession) -> bool:
+    """Whether there is a scratch folder that all executors see."""
+    master = spark.conf.get("spark.master", "local")
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or re.fullmatch(r"local(\[[^\]]*\])?", master))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per context; they need not share the driver's path."""
     context = spark.sparkContext

@@ -33,6 +33,24 @@ def csv_reordered_header(spark, sf_dir):
     return sources.read_csv(spark, path, orders.schema)
 
 
+@query(f"""
+SELECT {_ORDERS}, CAST(NULL AS BIGINT) AS batch FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT {_ORDERS}, NULL FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, NULL, o_orderdate, o_orderpriority, 7 FROM orders WHERE o_orderstatus = 'P'
+""")
+def csv_two_headers(spark, sf_dir):
+    """One folder with the columns in two orders, and files that have one column more and one less."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders.csv")
+    orders.where("o_orderstatus = 'F'").write.option("header", True).csv(path)
+    orders.where("o_orderstatus = 'O'").select(*reversed(orders.columns)).write.mode("append").option("header", True).csv(path)
+    other = orders.where("o_orderstatus = 'P'").select(F.lit(7).alias("batch"), *reversed(orders.drop("o_totalprice").columns))
+    other.write.mode("append").option("header", True).csv(path)
+    found = sources.read_csv(spark, path)
+    kept = [F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema]
+    return found.select(*kept, F.col("batch").cast("bigint").alias("batch"))
+
+
 @query("""
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS malformed_rows,
        count(*) FILTER (WHERE o_orderkey % 3 = 0) AS key_nulls FROM orders
