@@ -7,6 +7,8 @@ digits; states of tasks merge by OR and by maximum, so any division of the input
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,29 +21,58 @@ INT, LONG, DECIMAL, REAL, DATE, TIME, BOOLEAN, TEXT = (1 << k for k in range(8))
 _NUMBERS, _TIMES = INT | LONG | DECIMAL | REAL, DATE | TIME
 _MOST_DIGITS, _LONG_DIGITS, _INT_DIGITS = 38, 20, 10
 
+# Files whose first line is read at the same time.
+READERS = 16
+
 _WHOLE, _POINTED = "^[+-]?[0-9]+$", r"^[+-]?[0-9]+\.?$"
 _NUMBER = r"^[\x00-\x20]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|Inf|Infinity)[\x00-\x20]*$"
 _DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_MOMENT = r"^[\x00-\x20]*([+-]?[0-9]{4,6}(-[0-9]{1,2}){0,2}([ T].*)?|T?[0-9]{1,2}:.*)[\x00-\x20]*$"
+# Bounds of int and bigint, without sign.
+_LARGEST_INT, _SMALLEST_INT = "2147483647", "2147483648"
+_LARGEST_LONG, _SMALLEST_LONG = "9223372036854775807", "9223372036854775808"
 
 
 def kind(cell: Column) -> Column:
-    """The bit of the narrowest kind that a cell fits; 0 for null and empty cells, which fit all."""
-    whole, digits = cell.rlike(_WHOLE), _digits(cell)
+    """The bit of the narrowest kind that a cell fits; 0 for null and empty cells, which fit all.
+
+    Whole numbers are compared as texts and times are cast only where they look like one: a failing cast costs an
+    exception.
+    """
+    whole = cell.rlike(_WHOLE)
     return (
         F.when(cell.isNull() | (cell == ""), 0)
-        .when(whole & cell.try_cast("int").isNotNull(), INT)
-        .when(whole & cell.try_cast("bigint").isNotNull(), LONG)
-        .when(cell.rlike(_POINTED) & (digits <= _MOST_DIGITS), DECIMAL)
+        .when(whole & ((F.length(cell) < len(_LARGEST_INT)) | _fits(cell, _LARGEST_INT, _SMALLEST_INT)), INT)
+        .when(whole & _fits(cell, _LARGEST_LONG, _SMALLEST_LONG), LONG)
+        .when(cell.rlike(_POINTED) & (_digits(cell) <= _MOST_DIGITS), DECIMAL)
         .when(cell.rlike(_NUMBER), REAL)
         .when(cell.rlike(_DAY) & cell.try_cast("date").isNotNull(), DATE)
-        .when(cell.try_cast("timestamp").isNotNull(), TIME)
+        .when(cell.rlike(_MOMENT) & cell.try_cast("timestamp").isNotNull(), TIME)
         .when(F.lower(cell).isin("true", "false"), BOOLEAN)
         .otherwise(TEXT)
     )
 
 
+def _body(cell: Column) -> Column:
+    """A whole number without sign, leading zeros and a point behind it."""
+    return F.regexp_replace(cell, r"^[+-]?0*|\.$", "")
+
+
+def _fits(cell: Column, largest: str, smallest: str) -> Column:
+    """Whether a whole number lies between two bounds of as many digits."""
+    body = _body(cell)
+    bound = F.when(cell.startswith("-"), smallest).otherwise(largest)
+    return (F.length(body) < len(largest)) | ((F.length(body) == len(largest)) & (body <= bound))
+
+
 def _digits(cell: Column) -> Column:
-    return F.length(F.regexp_replace(cell, r"^[+-]?0*|\.$", ""))
+    return F.length(_body(cell))
+
+
+def _decimal_digits(cell: Column) -> Column:
+    """Digits of a cell that may be a decimal; other whole numbers are too short to matter."""
+    long = (F.length(cell) >= len(_LARGEST_LONG)) | cell.endswith(".")
+    return F.when(long, F.when(cell.rlike(_POINTED), _digits(cell)))
 
 
 def merged(kinds: int | None, digits: int | None) -> T.DataType:
@@ -76,7 +107,7 @@ def typed_once(texts: DataFrame, untyped: tuple[str, ...] = ()) -> DataFrame:
     states = [F.count(F.lit(1)).alias("rows")]
     for c in typed:
         states.append(F.bit_or(kind(F.col(c))).alias(f"k{c}"))
-        states.append(F.max(F.when(F.col(c).rlike(_POINTED), _digits(F.col(c)))).alias(f"d{c}"))
+        states.append(F.max(_decimal_digits(F.col(c))).alias(f"d{c}"))
     path = scratch_path(texts.sparkSession, "cells")
     plain.observe(seen, *states).write.parquet(path)
     found = seen.get
@@ -89,9 +120,33 @@ def typed_once(texts: DataFrame, untyped: tuple[str, ...] = ()) -> DataFrame:
     return stored.select(*picked).toDF(*names)
 
 
-def headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
-    """The different first lines of the files below a path, each with its files, in the order of their first file."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    first = lines.filter("at = 0 AND trim(value) <> ''").groupBy("file").agg(F.first("value").alias("header"))
-    found = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy(F.col("files")[0])
-    return [(row["header"], list(row["files"])) for row in found.collect()]
+def headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The different first lines of the files below a path, each with its files, in the order of their first file.
+
+    Only the first line of each file is read, by some threads of the driver; blank lines before it and files without a
+    line do not count.
+    """
+    names = sorted(unquote(name) for name in spark.read.schema("value string").text(path).inputFiles())
+    with ThreadPoolExecutor(READERS) as pool:
+        lines = list(pool.map(lambda name: _first_line(spark, name), names))
+    found: dict[str, list[str]] = {}
+    for name, line in zip(names, lines, strict=True):
+        if line is not None:
+            found.setdefault(line, []).append(name)
+    return found
+
+
+def _first_line(spark: SparkSession, name: str) -> str | None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(name)
+    stream = target.getFileSystem(conf).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    text = codec.createInputStream(stream) if codec else stream
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+    try:
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line
+    finally:
+        reader.close()

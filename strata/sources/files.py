@@ -7,7 +7,6 @@ would return is refused, and malformed rows fail the read unless they are to be
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +16,6 @@ from strata.functions.naming import by_position
 from strata.session import has_scratch
 from strata.sources import cells, widen
 
-# How Spark says that a file's header is not the expected one.
-_OTHER_HEADER = ("CSV header does not conform", "Number of column in CSV header")
 # Holds the text of a malformed row where such rows are kept.
 MALFORMED = "_malformed"
 
@@ -28,10 +25,10 @@ def read_csv(
 ) -> DataFrame:
     """Scan CSV with a header row; types are inferred unless ``schema`` is given.
 
-    Without a schema the text is parsed once: cells go to the scratch folder while the type of each column is found, and
-    the result reads them from there (see :func:`strata.sources.cells.typed_once`). Files whose headers differ are
-    joined by column name, a column absent from a file being null there. Where executors share no scratch folder the
-    source is read twice, and files whose headers differ are refused. Types are those of Spark's own inference.
+    Files whose headers differ are joined by column name, a column absent from a file being null there. Their cells are
+    parsed once, into the scratch folder, and get the types that fit the cells of all files (see
+    :func:`strata.sources.cells.typed_once`); where executors share no scratch folder such files are refused. With one
+    header Spark infers the types, which reads the source once more; that takes less time than to write it down.
 
     A given schema is matched by header name: a column absent from the header is null, one absent from the schema is
     an error, and a further file whose header differs is refused.
@@ -41,12 +38,13 @@ def read_csv(
     """
     _check_choice(malformed)
     header = spark.read.option("header", True).csv(path)
-    if schema is None and header.columns and has_scratch(spark):
-        return _parsed_once(spark, path, header.columns, malformed)
     if schema is None:
+        kinds = cells.headers(spark, path)
+        if len(kinds) > 1:
+            return _joined_by_header(spark, path, kinds, malformed)
         inferred = spark.read.option("header", True).option("inferSchema", True).csv(path)
         reader = spark.read.option("mode", "FAILFAST").schema(inferred.schema) if malformed == "fail" else _with_mark(spark, inferred.schema)
-        return reader.option("header", True).option("enforceSchema", False).csv(path)
+        return reader.option("header", True).csv(path)
     declared = {f.name.lower(): f for f in schema}
     extra = [name for name in header.columns if name.lower() not in declared]
     if extra:
@@ -65,28 +63,20 @@ def read_csv(
     return by_position(df).select(*(c.alias(f"p{i}") for i, c in enumerate(picked))).toDF(*(f.name for f in wanted))
 
 
-def _parsed_once(spark: SparkSession, path: str, names: list[str], malformed: str) -> DataFrame:
-    """All files with the types their cells fit. Only where a header differs are the files told apart."""
-
-    def texts(paths: str | list[str], names: list[str], alike: bool = False) -> DataFrame:
+def _joined_by_header(spark: SparkSession, path: str, kinds: dict[str, list[str]], malformed: str) -> DataFrame:
+    """All files by column name, with the types that the cells of all of them fit."""
+    if not has_scratch(spark):
+        raise ValueError(f"files of {path} differ in their header: {sorted(kinds)[:2]}; set spark.checkpoint.dir to join them")
+    frames = []
+    for files in kinds.values():
+        # These have one and the same header; repeated and empty names in it are made unique.
+        names = spark.read.option("header", True).csv(files[0]).columns
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
         reader = spark.read.option("mode", "FAILFAST").schema(schema) if malformed == "fail" else _with_mark(spark, schema)
-        below = paths != path and paths[0].rsplit("/", 1)[-1] != path.rstrip("/").rsplit("/", 1)[-1]
-        if below and not set("*?[{") & set(path):
+        if not set("*?[{") & set(path):
             # Columns that stand for folders come along.
             reader = reader.option("basePath", path)
-        return reader.option("header", True).option("enforceSchema", alike).csv(paths)
-
-    try:
-        return _mark_last(cells.typed_once(texts(path, names), (MALFORMED,)))
-    except Exception as error:
-        if not any(sign in str(error) for sign in _OTHER_HEADER):
-            raise
-    frames = []
-    for _, found in cells.headers(spark, path):
-        own = [unquote(name) for name in found]
-        # These have one and the same header; repeated and empty names in it were made unique.
-        frames.append(texts(own, spark.read.option("header", True).csv(own[0]).columns, alike=True))
+        frames.append(reader.option("header", True).csv(files))
     return _mark_last(cells.typed_once(widen.union_widened(frames), (MALFORMED,)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import itertools
 import random
 
@@ -38,27 +39,36 @@ def test_types_are_those_of_sparks_inference(spark, tmp_path):
         some = [c + [""] * (3 - len(c)) for c in columns[lo : lo + 40]]
         text = ",".join(f"c{i}" for i in range(len(some))) + ",z\n" + "".join(",".join(c[k] for c in some) + ",z\n" for k in range(3))
         path = written(tmp_path / f"t{lo}", [text])
-        mine, other = sources.read_csv(spark, path), theirs(spark, path)
+        mine, other = cells.typed_once(spark.read.option("header", True).csv(path)), theirs(spark, path)
         assert [(c, m, o) for c, (_, m), (_, o) in zip(some, mine.dtypes, other.dtypes, strict=False) if m != o] == []
         assert [str(r) for r in mine.collect()] == [str(r) for r in other.collect()]
 
 
 def test_states_merge_over_tasks(spark, tmp_path):
-    """The cell that decides a type may stand in any file."""
+    """The cell that decides a type may stand in any file, whatever its header."""
     texts = ["a,b,c\n" + "1,2024-01-01,5\n" * 50 for _ in range(6)]
-    texts[4] = "a,b,c\n2.5,2024-01-01 10:00:00,12345678901234567890\n"
+    texts[4] = "b,a,c\n2024-01-01 10:00:00,2.5,12345678901234567890\n"
     df = sources.read_csv(spark, written(tmp_path / "in", texts))
     assert df.dtypes == [("a", "double"), ("b", "timestamp"), ("c", "decimal(20,0)")] and df.count() == 251
 
 
-def test_the_source_is_parsed_once(spark, tmp_path):
-    path = written(tmp_path / "in", ["a,b\n1,x\n"])
+def test_joined_files_are_parsed_once(spark, tmp_path):
+    path = written(tmp_path / "in", ["a,b\n007,x\n", "b,a\ny,z\n"])
     df = sources.read_csv(spark, path)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "parquet" in plan.lower() and "csv" not in plan.lower()
     assert "c1" not in df.select("a")._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
     (tmp_path / "in" / "0.csv").unlink()
-    assert [tuple(r) for r in df.collect()] == [(1, "x")]
+    # A number that meets a text keeps its spelling.
+    assert sorted(tuple(r) for r in df.collect()) == [("007", "x"), ("z", "y")]
+
+
+def test_headers(spark, tmp_path):
+    path = written(tmp_path / "a b", ["a,b\n1,2\n", "\n \na,b\n", "", "b\n"])
+    with gzip.open(tmp_path / "a b" / "4.csv.gz", "wt") as file:
+        file.write("b\n5\n")
+    found = cells.headers(spark, path)
+    assert {k: [name.rsplit("/", 1)[1] for name in v] for k, v in found.items()} == {"a,b": ["0.csv", "1.csv"], "b": ["3.csv", "4.csv.gz"]}
 
 
 @pytest.mark.parametrize("malformed", ["fail", "keep"])
@@ -90,8 +100,8 @@ def test_without_a_shared_folder_other_headers_are_refused(spark, tmp_path, monk
     monkeypatch.setattr("strata.sources.files.has_scratch", lambda _: False)
     path = written(tmp_path / "in", ["a,b\n1,10\n", "b,a\n20,2\n"])
     for malformed in ("fail", "keep"):
-        with pytest.raises(Exception, match="(?i)header"):
-            sources.read_csv(spark, path, malformed=malformed).collect()
+        with pytest.raises(ValueError, match="differ in their header"):
+            sources.read_csv(spark, path, malformed=malformed)
     assert [tuple(r) for r in sources.read_csv(spark, f"{path}/0.csv").collect()] == [(1, 10)]
 
 
