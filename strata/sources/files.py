@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from strata.functions.naming import by_position
 from strata.session import has_scratch
-from strata.sources import cells, widen
+from strata.sources import arrays, cells, widen
 
 # Holds the text of a malformed row where such rows are kept.
 MALFORMED = "_malformed"
@@ -96,19 +96,23 @@ def read_json(
 ) -> DataFrame:
     """Scan JSON files holding one object or one array of objects each.
 
-    Such a file is read by one task, and one with more than one value is refused, as all but the first would be lost.
-    ``lines=True`` reads one object per line instead, which splits within a file and is the form to use for large
-    files. Records that cannot be read, or whose values do not fit a given schema, fail the read; with
+    Blocks of such a file are cut into records by many tasks, into the scratch folder (see
+    :func:`strata.sources.arrays.as_lines`); where executors share none, a file is read by one task. A file with more
+    than one value is refused, as all but the first would be lost. ``lines=True`` reads one object per line instead and
+    copies nothing. Records that cannot be read, or whose values do not fit a given schema, fail the read; with
     ``malformed="keep"`` their text is in column ``_malformed``.
     """
     _check_choice(malformed)
-    if not lines:
+    named = path
+    if not lines and has_scratch(spark):
+        path, lines = arrays.as_lines(spark, path), True
+    elif not lines:
         check_single_values(spark, path)
     if schema is None:
         reader = spark.read.option("multiLine", not lines).option("columnNameOfCorruptRecord", MALFORMED)
         schema = reader.json(path).schema
         if malformed == "fail" and MALFORMED in schema.names or schema.names == [MALFORMED]:
-            raise ValueError(f"no readable JSON record in {path}" if len(schema) == 1 else f"malformed JSON in {path}")
+            raise ValueError(f"no readable JSON record in {named}" if len(schema) == 1 else f"malformed JSON in {named}")
         schema = T.StructType([f for f in schema if f.name != MALFORMED])
     reader = spark.read.schema(schema).option("mode", "FAILFAST") if malformed == "fail" else _with_mark(spark, schema)
     return reader.option("multiLine", not lines).json(path)
