@@ -151,17 +151,14 @@ def column_profile(spark, sf_dir):
     return profile.column_profile(derived(spark, sf_dir, DIRTY), by="s")
 
 
-@query(
-    _profile_sql(
-        "CAST(NULL AS VARCHAR)",
-        "lineitem",
-        ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"],
-        "",
-    )
-)
+_LINEITEM = """
+l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate
+""".split()
+
+
+@query(_profile_sql("CAST(NULL AS VARCHAR)", "lineitem", _LINEITEM, ""))
 def column_profile_whole(spark, sf_dir):
-    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"]
-    return profile.column_profile(table(spark, sf_dir, "lineitem").select(*cols))
+    return profile.column_profile(table(spark, sf_dir, "lineitem"))
 
 
 _SHOWN = "strftime(max({0}) + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p')"

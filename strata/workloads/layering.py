@@ -117,7 +117,7 @@ def _batches(spark, folder_frame, folder):
 
 
 @query("""
-SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice,
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice,
        coalesce(NULLIF(o_orderpriority, '5-LOW'), 'unknown') AS o_orderpriority
 FROM orders
 """)
@@ -126,6 +126,7 @@ def stream_on_arrival(spark, sf_dir):
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
+        "o_orderdate",
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("o_totalprice"),
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"),
     )
@@ -178,41 +179,41 @@ FROM {orders} GROUP BY o_orderpriority
 """
 
 
-def _two_scheduled_runs(spark, sf_dir):
-    """Queue the orders of each priority as a file of their own and run the first two."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+def _scheduled_runs(spark, sf_dir):
+    """Queue the orders of each priority as a file of their own and run the queue to its end."""
+    orders = table(spark, sf_dir, "orders")
     root = scratch_path(spark, "queue")
     orders.write.partitionBy("o_orderpriority").option("header", True).csv(f"{root}/in")
-    derived(spark, sf_dir, _QUEUE).write.parquet(f"{root}/ledger/queued")
-    entries = spark.read.parquet(f"{root}/ledger/queued")
-    for run_id in ("scheduled__1", "scheduled__2"):
-        entries, _ = incremental.run_next(
-            spark, entries, f"{root}/in", f"{root}/layers", "scheduled", run_id, "2026-07-02T05:00:00", _STREAM_CONFIG
+    derived(spark, sf_dir, _QUEUE).write.parquet(f"{root}/ledger/0")
+    done, records = 0, True
+    while records:
+        entries = spark.read.parquet(f"{root}/ledger/{done}")
+        entries, records = incremental.run_next(
+            spark, entries, f"{root}/in", f"{root}/layers", "scheduled", f"scheduled__{done + 1}", "2026-07-02T05:00:00", _STREAM_CONFIG
         )
-        entries.write.parquet(f"{root}/ledger/{run_id}")
-        entries = spark.read.parquet(f"{root}/ledger/{run_id}")
+        if records:
+            done += 1
+            entries.write.parquet(f"{root}/ledger/{done}")
     return entries, f"{root}/layers"
 
 
 @query(f"""
-SELECT position, file_name, CASE WHEN position <= 2 THEN 'processed' ELSE status END AS status, target_dag, queued_at,
-       CASE WHEN position <= 2 THEN 'scheduled__' || position END AS reserved_run_id,
-       CASE WHEN position <= 2 THEN '2026-07-02T05:00:00' END AS reserved_at,
-       CASE WHEN position <= 2 THEN 'scheduled__' || position END AS processed_run_id,
-       CASE WHEN position <= 2 THEN '2026-07-02T05:00:00' END AS processed_at
+SELECT position, file_name, 'processed' AS status, target_dag, queued_at, 'scheduled__' || position AS reserved_run_id,
+       '2026-07-02T05:00:00' AS reserved_at, 'scheduled__' || position AS processed_run_id, '2026-07-02T05:00:00' AS processed_at
 FROM {plain(_QUEUE)}
 """)
 def scheduled_ledger(spark, sf_dir):
-    return _two_scheduled_runs(spark, sf_dir)[0]
+    return _scheduled_runs(spark, sf_dir)[0]
 
 
 @query("""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH'
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+WHERE o_orderpriority = (SELECT max(o_orderpriority) FROM orders)
 """)
 def scheduled_layer(spark, sf_dir):
-    root = _two_scheduled_runs(spark, sf_dir)[1]
-    silver = tables.read_layer(spark, layers.layer_path(root, "silver")).drop(*STAMPS)
-    return silver.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+    like = table(spark, sf_dir, "orders").drop("o_orderpriority")
+    silver = tables.read_layer(spark, layers.layer_path(_scheduled_runs(spark, sf_dir)[1], "silver")).drop(*STAMPS)
+    return silver.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema))
 
 
 @query("""
