@@ -5,6 +5,7 @@ from strata.functions import fmt
 from strata.operators import (
     clean,
     columns,
+    footers,
     ledger,
     lineage,
     lookup,
@@ -23,6 +24,7 @@ __all__ = [
     "clean",
     "columns",
     "fmt",
+    "footers",
     "incremental",
     "layers",
     "ledger",

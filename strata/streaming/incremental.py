@@ -179,7 +179,7 @@ def store_ledger(entries: DataFrame, path: str) -> None:
     """
     spark = entries.sparkSession
     states = _states(spark, path)
-    entries.coalesce(1).write.mode("error").parquet(f"{path}/state={max(states, default=-1) + 1}")
+    entries.write.mode("error").parquet(f"{path}/state={max(states, default=-1) + 1}")
     done = sorted(number for number, complete in states.items() if complete)
     for number in done[:-1]:
         fs, folder = _file_system(spark, f"{path}/state={number}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata import clean, columns, preview, profile, quality, schema, tables
+from strata import clean, columns, footers, preview, profile, quality, schema, tables
 from strata.session import scratch_path
 from strata.workloads.inputs import DIRTY, derived, plain
 from strata.workloads.registry import query, table
@@ -161,6 +161,14 @@ def column_profile_whole(spark, sf_dir):
     return profile.column_profile(table(spark, sf_dir, "lineitem"))
 
 
+@query(_profile_sql("CAST(NULL AS VARCHAR)", "lineitem", _LINEITEM, ""))
+def profile_from_footers(spark, sf_dir):
+    """The same figures of a stored table, those of numbers without reading a row."""
+    path = scratch_path(spark, "layer")
+    tables.write_layer(table(spark, sf_dir, "lineitem"), path)
+    return footers.table_profile(spark, path)
+
+
 _SHOWN = "strftime(max({0}) + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p')"
 
 
