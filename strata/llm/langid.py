@@ -7,11 +7,11 @@ dictionary and not the text's own beginning decides. The whole text counts.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,16 +28,21 @@ LEVEL = 6
 MARGIN = 0.02
 NONE = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+# Of each language so many times the texts needed are left to be put in order.
+SAMPLE_ROOM = 4
+_RANGE = 1 << 30
+_LETTER, _OTHER = regex.compile(r"\p{L}"), regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str) -> str:
-    """Lower-case letters; every run of other characters is one space."""
-    return _OTHER.sub(" ", text.lower()).strip()
+    """Lower-case letters with their marks (accents, vowel signs); every run of other characters is one space."""
+    found = _OTHER.sub(" ", text.lower()).strip()
+    return found if _LETTER.search(found) else ""
 
 
 def held_out(id_col: Column) -> Column:
-    return F.crc32(id_col.cast("string").cast("binary")) % 3 == 1
+    """Whether the remainder of the id's checksum is 1; a null id counts as empty."""
+    return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
 def excerpt(text: Column) -> Column:
@@ -51,13 +56,21 @@ def excerpt(text: Column) -> Column:
 def dictionaries(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """Dictionary bytes by language, the most frequent first, from rows chosen by the hash of their text.
 
-    Texts of any length are chosen; a long one teaches by its excerpt. Null labels and texts teach nothing.
+    Different texts of any length are chosen, the same ones however rows are dealt out; a long one teaches by its excerpt. Null labels and texts teach nothing.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
-    order = Window.partitionBy("lang").orderBy("hash", "text")
-    sample = rows.select("lang", F.xxhash64("text").alias("hash"), excerpt(F.col("text")).alias("text")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_TEXTS).orderBy("lang", "k").collect()
-    frequent = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    hashed = rows.select("lang", F.xxhash64("text").alias("hash"), excerpt(F.col("text")).alias("text"))
+    counted = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("hash").alias("texts")).collect()
+    frequent = {row["lang"]: row["rows"] for row in counted}
+    if not frequent:
+        return {}
+    # Hashes below a cut that leaves about enough different texts of each language, so that few reach the ordering.
+    cuts = {row["lang"]: int(min(1.0, SAMPLE_ROOM * SAMPLE_TEXTS / max(row["texts"], 1)) * _RANGE) for row in counted}
+    cut = F.element_at(F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair)), F.col("lang"))
+    few = hashed.filter(F.pmod("hash", F.lit(_RANGE)) < cut).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("hash")
+    sample = few.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_TEXTS).orderBy("lang", "k").collect()
     parts: dict[str, list[str]] = {}
     for row in sample:
         parts.setdefault(row["lang"], []).append(letters(row["text"]))

@@ -254,3 +254,18 @@ def test_licences_of_a_text_with_many_places():
     got = licences.scan(reduced, "")
     assert got[:4] == (800_000, 200_000, 1, 799_996)
     assert time.perf_counter() - began < 20
+
+
+def test_language_keeps_marks():
+    assert langid.letters("नमस्ते दुनिया 12_é!") == "नमस्ते दुनिया é"
+    assert langid.letters("́ 12") == langid.letters("") == ""
+
+
+def test_language_sample_of_many_copies(spark, monkeypatch):
+    """A language of few texts in very many copies is learned; the sample does not depend on how rows are dealt out."""
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 5)
+    rows = [("a", f"alpha beta {i % 2}") for i in range(3000)] + [("b", f"gamma w{i} delta") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.dictionaries(frame)
+    assert set(got) == {"a", "b"} and got == langid.dictionaries(frame.repartition(7))
+    assert langid.dictionaries(frame.limit(0)) == {}
