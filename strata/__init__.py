@@ -15,10 +15,11 @@ from strata.operators import (
     report,
     runs,
     schema,
+    states,
 )
 from strata.plans import layers, metrics
 from strata.sources import tables
-from strata.streaming import incremental
+from strata.streaming import incremental, seen
 
 __all__ = [
     "clean",
@@ -37,6 +38,8 @@ __all__ = [
     "report",
     "runs",
     "schema",
+    "seen",
     "sources",
+    "states",
     "tables",
 ]

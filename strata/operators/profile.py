@@ -29,7 +29,7 @@ def column_profile(df: DataFrame, by: str | None = None) -> DataFrame:
         # The result has to use it, or the optimizer drops it: it is 0 and never null, as no group is empty.
         aggs[0] = (aggs[0] + F.percentile_approx(F.lit(0), F.lit(0.5), F.lit(1))).alias("n")
     for name, field in fields:
-        ordered = _has_order(field.dataType)
+        ordered = has_order(field.dataType)
         aggs.append((F.min(name) if ordered else F.lit(None)).cast("string").alias(f"{name}_min"))
         aggs.append((F.max(name) if ordered else F.lit(None)).cast("string").alias(f"{name}_max"))
         aggs.append(F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"))
@@ -58,7 +58,7 @@ def last_updated(
     missing: str = fmt.MISSING,
 ) -> DataFrame:
     """One row with the newest load time for display, as ``last_updated``."""
-    return df.agg(_newest(df, column, tz, pattern, missing).alias("last_updated"))
+    return df.agg(newest(df, column, tz, pattern, missing).alias("last_updated"))
 
 
 def layer_summary(layers: Mapping[str, DataFrame], column: str = INGESTED_AT) -> DataFrame:
@@ -68,7 +68,7 @@ def layer_summary(layers: Mapping[str, DataFrame], column: str = INGESTED_AT) ->
             F.lit(name).alias("layer"),
             F.count(F.lit(1)).alias("rows"),
             F.when(F.count(F.lit(1)) > 0, len(df.columns)).otherwise(0).alias("columns"),
-            _newest(df, column, fmt.DISPLAY_ZONE, fmt.DISPLAY_PATTERN, fmt.MISSING).alias("last_updated"),
+            newest(df, column, fmt.DISPLAY_ZONE, fmt.DISPLAY_PATTERN, fmt.MISSING).alias("last_updated"),
         )
         for name, df in layers.items()
     )
@@ -81,7 +81,7 @@ def platform_totals(layers: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _newest(df: DataFrame, column: str, tz: str, pattern: str, missing: str) -> Column:
+def newest(df: DataFrame, column: str, tz: str, pattern: str, missing: str) -> Column:
     if column not in df.columns:
         return F.lit(missing)
     newest = F.max(F.col(column))
@@ -94,7 +94,7 @@ def _newest(df: DataFrame, column: str, tz: str, pattern: str, missing: str) ->
     return F.coalesce(fmt.display_clock(clock, tz, pattern), F.lit(missing))
 
 
-def _has_order(dtype: T.DataType) -> bool:
+def has_order(dtype: T.DataType) -> bool:
     return isinstance(
         dtype, (T.NumericType, T.StringType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
     )

@@ -48,6 +48,8 @@ class LayerConfig:
     malformed: str = "fail"
     # Find repeated rows by their hashes first; for large inputs in which few different rows repeat.
     screen_duplicates: bool = False
+    # Leave out rows that an earlier batch of the same stream had; for appended batches only.
+    across_batches: bool = False
     # Gather partition values before a partitioned write, at the cost of a shuffle.
     # None leaves it to the number of values found.
     rebalance: bool | None = None

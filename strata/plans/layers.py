@@ -7,7 +7,7 @@ shuffle, so they need no further pass over the data.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -22,6 +22,7 @@ from strata.operators import clean, columns, quality, schema
 from strata.plans import metrics
 from strata.plans.config import LayerConfig
 from strata.sources import files, tables
+from strata.streaming import seen as seen_rows
 
 DEFAULT = LayerConfig()
 
@@ -54,11 +55,17 @@ def refine(df: DataFrame, config: LayerConfig = DEFAULT) -> DataFrame:
     return clean.fill_nulls(df, config.fill_string, config.fill_number)
 
 
-def refine_counted(df: DataFrame, config: LayerConfig = DEFAULT):
+def seen_path(root: str, batch: int | str) -> str:
+    """Folder of the hashes of the rows that the batches of a stream had."""
+    return layer_path(root, "seen", batch).rsplit("/batch_id=", 1)[0]
+
+
+def refine_counted(df: DataFrame, config: LayerConfig = DEFAULT, mark: Callable[[DataFrame, list[str]], DataFrame] | None = None):
     """:func:`refine` with counters on it: ``(frame, observation)``.
 
     The number of copies travels with each distinct row, so rows before and after,
     null cells and filled cells are all counted in the stage after the one shuffle.
+    ``mark`` adds a column ``known`` to the distinct rows; known rows are counted, but left out.
     """
     df = columns.drop_artifacts(df, config.artifacts)
     distinct = clean.count_copies_screened(df) if config.screen_duplicates else clean.count_copies(df)
@@ -66,17 +73,20 @@ def refine_counted(df: DataFrame, config: LayerConfig = DEFAULT):
     gaps = sum(
         (clean.is_gap(cell, dtype).cast("int") for cell, dtype in cells if clean.is_filled(dtype)), F.lit(0)
     )
+    distinct = distinct.withColumn("known", F.lit(False)) if mark is None else mark(distinct, df.columns)
+    fresh = ~F.col("known")
     counted, seen = metrics.observe_counts(
         distinct.withColumns({"nulls": quality.row_nulls([cell for cell, _ in cells]), "gaps": gaps}),
         rows_before=F.sum("copies"),
-        nulls=F.sum("nulls"),
-        gaps=F.sum("gaps"),
+        known=F.count_if("known"),
+        nulls=F.sum(F.when(fresh, F.col("nulls"))),
+        gaps=F.sum(F.when(fresh, F.col("gaps"))),
     )
     filled = [
         clean.filled(cell, dtype, config.fill_string, config.fill_number).alias(f"c{i}")
         for i, (cell, dtype) in enumerate(cells)
     ]
-    return counted.select(*filled).toDF(*df.columns), seen
+    return counted.filter(fresh).select(*filled).toDF(*df.columns), seen
 
 
 def enrich(df: DataFrame, config: LayerConfig = DEFAULT) -> DataFrame:
@@ -130,7 +140,11 @@ def silver(
             # A schema that does not fit is refused before any pass over the data.
             tables.check_fits(columns.stamp(columns.drop_artifacts(df, config.artifacts), PROCESSED_AT), path, config.fmt)
             with session.settings(spark, session.shuffle_sized_for(spark, source)):
-                refined, seen = refine_counted(df, config)
+                mark = None
+                if config.across_batches and batch is not None:
+                    index, number = seen_path(root, batch), int(str(batch).rpartition("/")[2])
+                    mark = lambda distinct, names: seen_rows.mark(distinct, names, index, number)
+                refined, seen = refine_counted(df, config, mark)
                 tables.write_layer(columns.stamp(refined, PROCESSED_AT), path, fmt=config.fmt)
             figures = _figures(seen.get)
             dropped = len(refined.columns) < len(df.columns)
@@ -202,7 +216,7 @@ def run(
 def _figures(seen: dict) -> dict:
     return {
         "rows_before": seen["rows_before"],
-        "duplicates_removed": seen["rows_before"] - seen["rows"],
+        "duplicates_removed": seen["rows_before"] - seen["rows"] + seen["known"],
         "nulls_filled": seen["nulls"],
         "nulls_filled_exact": seen["gaps"],
     }

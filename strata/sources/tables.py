@@ -57,7 +57,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
     Where a replacement was cut off between its two renames, the new table is put in place first.
     """
-    fs, target = _at(spark, path)
+    fs, target = at(spark, path)
     if fs.exists(target):
         return True
     ready = _beside(spark, path, "ready")
@@ -65,7 +65,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(ready) and (_renamed(fs, ready[0], target) or fs.exists(target))
 
 
-def _at(spark: SparkSession, path: str):
+def at(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs, fs.makeQualified(target)
@@ -73,13 +73,13 @@ def _at(spark: SparkSession, path: str):
 
 def _named_beside(spark: SparkSession, path: str, kind: str, name: str):
     """A folder next to the table, on the same file system; the leading dot hides it from every scan."""
-    _, target = _at(spark, path)
+    _, target = at(spark, path)
     return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{kind}-{name}")
 
 
 def _beside(spark: SparkSession, path: str, kind: str) -> list:
     """What earlier writes left next to a table."""
-    fs, target = _at(spark, path)
+    fs, target = at(spark, path)
     if not fs.exists(target.getParent()):
         return []
     prefix = f".{target.getName()}.{kind}-"
@@ -100,7 +100,7 @@ def _settle(spark: SparkSession, path: str) -> None:
     """Finish or undo what a lost writer of this table left: a whole new table is put in place, the rest goes."""
     for ready in _beside(spark, path, "ready"):
         _swap(spark, path, ready)
-    fs, target = _at(spark, path)
+    fs, target = at(spark, path)
     former = _beside(spark, path, "old")
     if former and not fs.exists(target):
         _renamed(fs, former.pop(), target)
@@ -110,7 +110,7 @@ def _settle(spark: SparkSession, path: str) -> None:
 
 def _swap(spark: SparkSession, path: str, ready) -> None:
     """Put a whole table in the place of the former one, which goes last."""
-    fs, target = _at(spark, path)
+    fs, target = at(spark, path)
     old = _named_beside(spark, path, "old", uuid.uuid4().hex)
     replaced = fs.exists(target) and _renamed(fs, target, old)
     if not _renamed(fs, ready, target) and not fs.exists(target):
@@ -279,7 +279,7 @@ def write_layer(
         writer.save(path)
         return df.schema
     _settle(spark, path)
-    fs, _ = _at(spark, path)
+    fs, _ = at(spark, path)
     name = uuid.uuid4().hex
     staged, ready = _named_beside(spark, path, "new", name), _named_beside(spark, path, "ready", name)
     try:

@@ -1,6 +1,7 @@
 """Source files as a stream: refine each batch on arrival, or drain all that wait.
 
-The state of a batch never reaches the next one. With ``mode="append"`` each batch has its own folder
+The state of a batch never reaches the next one, unless ``LayerConfig.across_batches`` asks that rows of earlier batches
+be left out. With ``mode="append"`` each batch has its own folder
 ``stream=<name>/batch_id=<n>``, which a replay after a failure overwrites; with ``mode="overwrite"`` a layer holds the
 last batch only. Files are taken whatever their age.
 """
@@ -20,6 +21,7 @@ from strata.operators import ledger
 from strata.plans import layers
 from strata.plans.config import LayerConfig
 from strata.sources import files, tables
+from strata.streaming import seen
 
 # Older than any file; Spark's default would leave out files a week older than the newest one seen.
 MAX_FILE_AGE = "36500d"
@@ -89,6 +91,9 @@ def refine_batch(
                 files.check_single_values(spark, *names)
             batch = batch.drop(SOURCE_FILE)
         part = f"{name}/{batch_id}" if mode == "append" else None
+        if config.across_batches and part is not None and batch_id % seen.FOLD_EVERY == 0:
+            # The batch before this one has ended, so no earlier one is replayed.
+            seen.fold(spark, layers.seen_path(root, part), batch_id)
         layers.run(spark, batch, root, f"{name}_batch_{batch_id}", config, batch=part)
 
     return process

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata import clean, columns, footers, preview, profile, quality, schema, tables
+from strata import clean, columns, footers, preview, profile, quality, schema, states, tables
 from strata.session import scratch_path
 from strata.workloads.inputs import DIRTY, derived, plain
 from strata.workloads.registry import query, table
@@ -169,6 +169,26 @@ def profile_from_footers(spark, sf_dir):
     return footers.table_profile(spark, path)
 
 
+def _states(spark, sf_dir):
+    """The states of the line items' batches, dealt out by order; the first batch is replayed."""
+    path, batches = scratch_path(spark, "states"), 4
+    lineitem = table(spark, sf_dir, "lineitem")
+    for batch in [*range(batches), 0]:
+        states.add(lineitem.filter(F.pmod("l_orderkey", F.lit(batches)) == batch), path, batch, distinct=["l_partkey"])
+    return states.load(spark, path)
+
+
+@query(_profile_sql("CAST(NULL AS VARCHAR)", "lineitem", _LINEITEM, ""))
+def profile_from_states(spark, sf_dir):
+    """The same figures again, merged from what each batch left."""
+    return states.column_profile(_states(spark, sf_dir)).drop("distinct_values")
+
+
+@query("SELECT 'Gold' AS layer, count(*) AS rows, 11 AS columns, 'Not available' AS last_updated FROM lineitem")
+def summary_from_states(spark, sf_dir):
+    return states.layer_summary(_states(spark, sf_dir), "Gold")
+
+
 _SHOWN = "strftime(max({0}) + INTERVAL 330 MINUTE, '%d %b %Y, %I:%M:%S %p')"
 
 

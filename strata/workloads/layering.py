@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from strata import incremental, layers, metrics, runs, tables
@@ -169,6 +171,20 @@ def stream_drain(spark, sf_dir):
     return tables.read_layer(spark, layers.layer_path(f"{root}/layers", "gold")).drop(*STAMPS)
 
 
+@query("SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_across_batches(spark, sf_dir):
+    """All events, then those of every other user again, in batches of their own; each row stays once."""
+    events = table(spark, sf_dir, "events")
+    root = scratch_path(spark, "stream")
+    config = replace(_STREAM_CONFIG, across_batches=True)
+    for part in (events, events.filter("user_id % 2 = 0"), events.unionByName(events.filter("user_id % 3 = 0"))):
+        part.write.mode("append").parquet(f"{root}/in")
+        incremental.drain(
+            spark, f"{root}/in", f"{root}/layers", events.schema, f"{root}/checkpoint", "parquet", config, max_files=None
+        )
+    return tables.read_layer(spark, layers.layer_path(f"{root}/layers", "silver")).drop(*STAMPS)
+
+
 _QUEUE = """
 SELECT CAST(row_number() OVER (ORDER BY o_orderpriority) AS BIGINT) AS position,
        concat('o_orderpriority=', o_orderpriority) AS file_name, 'queued' AS status, 'scheduled' AS target_dag,
