@@ -190,6 +190,19 @@ def learn(rows: dict[str, np.ndarray], bad: np.ndarray, held: np.ndarray) -> lis
     return rules
 
 
+def _least(labelled: DataFrame, n: int) -> DataFrame:
+    """Rows below a cut of the hash that leaves ``n`` rows or few more, so that no task offers more for the sample."""
+    rows, share = labelled.count(), 0.0
+    while True:
+        # The hash is even over distinct ids; where few ids have most rows, the cut moves up until enough rows pass.
+        share = max(2 * share, (n + 6 * n**0.5) / max(rows, 1))
+        if share >= 1:
+            return labelled
+        below = labelled.filter(F.col("chosen") < int((share - 0.5) * 2.0**64))
+        if below.count() >= n:
+            return below
+
+
 def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list[Rule]:
     """Learn from at most ``max_rows`` labelled documents, chosen by the hash of their id.
 
@@ -198,14 +211,9 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list[R
     agreed = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").dropna().groupBy("doc_id")
     agreed = agreed.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
     counted = stats.filter(~base_failed()).select("doc_id", *(ratio(name).alias(name) for name in RATIOS))
-    chosen = F.xxhash64("doc_id")
-    sample = (
-        counted.join(agreed, "doc_id")
-        .select(chosen.alias("chosen"), "quality", *RATIOS)
-        .orderBy("chosen", *RATIOS)
-        .limit(max_rows)
-        .collect()
-    )
+    chosen = F.xxhash64("doc_id").alias("chosen")
+    labelled = saved(counted.join(agreed, "doc_id").select(chosen, "quality", *RATIOS), "quality-labelled")
+    sample = _least(labelled, max_rows).orderBy("chosen", *RATIOS).limit(max_rows).collect()
     if not sample:
         return []
     rows = {name: np.array([r[name] for r in sample], float) for name in RATIOS}

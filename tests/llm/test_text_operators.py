@@ -269,3 +269,13 @@ def test_language_sample_of_many_copies(spark, monkeypatch):
     got = langid.dictionaries(frame)
     assert set(got) == {"a", "b"} and got == langid.dictionaries(frame.repartition(7))
     assert langid.dictionaries(frame.limit(0)) == {}
+
+
+@pytest.mark.parametrize("ids", [5000, 3])
+def test_quality_sample_is_the_least_hashes(spark, ids):
+    """The cut leaves the rows of the least hashes, however many rows an id has."""
+    rows = spark.range(5000).select(F.xxhash64(F.col("id") % ids).alias("chosen"))
+    below = rules._least(rows, 100)
+    order = [r.chosen for r in rows.orderBy("chosen").limit(100).collect()]
+    assert [r.chosen for r in below.orderBy("chosen").limit(100).collect()] == order
+    assert ids < 5000 or below.count() < 300
