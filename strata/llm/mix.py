@@ -2,11 +2,14 @@
 
 Each source gets a target size. A target above the source's size becomes whole copies of every document; the rest is a
 sample without replacement: documents are ranked by their random odds divided by their inclusion odds, and the first
-are taken until the rest of the target is reached. The random numbers come from the ids, so reruns agree.
+are taken until the rest of the target is reached. The inclusion odds of a document grow with the square root of its
+size over the mean of its source: short documents give way to longer ones, yet each has its chance. The random numbers
+come from id and text, so reruns agree.
 
 The cut is found without ordering a source: its documents are counted in ``BUCKETS`` ranges of the ranking variable,
 and only the one range in which the target is reached is ordered. Whether a document is taken is then a comparison
-with its source's cut, which can be applied to any table with the same ids and sources.
+with its source's cut, which can be applied to any table with the same ids, sources, sizes and draws. Rows equal in all
+of these share their place in the ranking; where the cut falls among them, they are numbered and the first are taken.
 """
 
 from __future__ import annotations
@@ -26,10 +29,15 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def chance(id_col: Column) -> Column:
-    """A number between 0 and 1 made of 52 bits of the id's MD5."""
-    digits = F.conv(F.substring(F.md5(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10)
-    return (digits.cast("bigint") + F.lit(0.5)) / F.lit(4503599627370496.0)
+def draw_of(id_col: Column, text: Column) -> Column:
+    """52 bits of the MD5 of id and text, as a number."""
+    drawn = F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(drawn.cast("binary")), 1, 13), 16, 10).cast("bigint")
+
+
+def chance(draw: Column) -> Column:
+    """A draw as a number between 0 and 1."""
+    return (draw + F.lit(0.5)) / F.lit(4503599627370496.0)
 
 
 def odds(p: Column) -> Column:
@@ -63,22 +71,30 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+# Rows that agree in these share their place.
+_PLACE = ["key", "doc_id", "size", "draw"]
+
+
 def _ranked(sized: DataFrame, of_source: DataFrame) -> DataFrame:
     """Rows with their source's figures and ``key``, the Pareto variable (null where no part of a copy is left)."""
     a, b = sized.alias("a"), of_source.alias("b")
     rows = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left").drop(F.col("b.source"))
     part = F.col("part")
-    key = F.when((part > 0) & (part < 1), odds(chance(F.col("doc_id"))) / odds(part))
+    lift = F.sqrt(F.greatest(F.col("size"), F.lit(1)).cast("double") / (F.col("source_size").cast("double") / F.col("source_docs").cast("double")))
+    key = F.when((part > 0) & (part < 1), odds(chance(F.col("draw"))) / (odds(part) * lift))
     return rows.withColumn("key", key).withColumn("bucket", F.floor(F.lit(BUCKETS) * F.col("key") / (F.lit(1.0) + F.col("key"))))
 
 
 def allot(sized: DataFrame) -> DataFrame:
     """What each source contributes: size, target, whole copies, and the cut of the ranking up to which one more is taken.
 
-    ``sized`` has ``doc_id``, ``source`` and ``size``. The cut is a bucket, all before which is taken, and the last
-    taken ``(key, doc_id)`` within it (null if none).
+    ``sized`` has ``doc_id``, ``source``, ``size`` and ``draw``. The cut is a bucket, all before which is taken, the last
+    place taken within it (null if none), and how many of the ``n_last`` rows in that place are taken.
     """
-    of_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_docs"))
+    wanted, a = targets(sums.select("source", "source_size")), sums.select("source", "source_docs").alias("a")
+    b = wanted.alias("b")
+    of_source = b.join(a, F.col("a.source").eqNullSafe(F.col("b.source"))).drop(F.col("a.source"))
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(times)
     of_source = saved(
@@ -92,38 +108,58 @@ def allot(sized: DataFrame) -> DataFrame:
     edges = counts.withColumn("upto", F.sum("in_bucket").over(running)).withColumn("before", F.col("upto") - F.col("in_bucket"))
     edge = edges.filter("before < rest AND upto >= rest").groupBy("source").agg(F.min("bucket").alias("edge"), F.min_by("before", "bucket").alias("before"))
     edge = saved(edge, "mix-edges")
-    a, b = rows.drop("bucket_before").alias("a"), edge.alias("b")
+    a, b = rows.alias("a"), edge.alias("b")
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.edge"))
-    inside = a.join(b, same).drop(F.col("b.source"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    taken = inside.withColumn("upto", F.col("before") + F.sum("size").over(order)).filter(F.col("upto") - F.col("size") / 2 < F.col("rest"))
-    last = taken.groupBy("source").agg(F.max(F.struct("key", "doc_id")).alias("last"))
+    # Equal rows collapse before they are ordered, so a row with any number of copies is one place.
+    places = a.join(b, same).drop(F.col("b.source")).groupBy("source", "rest", "before", *_PLACE).agg(F.count(F.lit(1)).alias("n_last"))
+    order = Window.partitionBy("source").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.col("n_last") * F.col("size")
+    left = F.col("rest") - (F.col("before") + F.sum(here).over(order) - here)
+    # A row is taken while half of it or more lies before the rest of the target.
+    fitting = F.when(F.col("size") > 0, F.ceil(left / F.greatest(F.col("size"), F.lit(1)) + F.lit(0.5)) - 1).when(left > 0, F.col("n_last")).otherwise(F.lit(0))
+    taken = places.withColumn("n_taken", F.least(F.col("n_last"), fitting)).filter("n_taken > 0")
+    last = taken.groupBy("source").agg(F.max(F.struct(*_PLACE, "n_taken", "n_last")).alias("last"))
+    last = last.select("source", F.struct(*(F.col(f"last.{name}").alias(name) for name in _PLACE)).alias("last"), "last.n_taken", "last.n_last")
     out = of_source
-    for part in (edge.select("source", "edge"), last):
-        a, b = out.alias("a"), part.alias("b")
+    for figures in (edge.select("source", "edge"), last):
+        a, b = out.alias("a"), figures.alias("b")
         out = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left").drop(F.col("b.source"))
     return saved(out, "mix-allotments")
 
 
 def copies(docs: DataFrame, allotments: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (with ``doc_id`` and ``source``) with the columns of their source and ``copies``."""
+    """The rows of ``docs`` (with ``doc_id``, ``source``, ``size`` and ``draw``) with their source's columns and ``copies``."""
     rows = _ranked(docs, allotments)
-    here = F.struct("key", "doc_id")
-    taken = F.col("key").isNotNull() & (
-        F.col("edge").isNull() | (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & F.coalesce(here <= F.col("last"), F.lit(False)))
-    )
-    return rows.withColumn("copies", (F.coalesce("whole", F.lit(0)) + taken.cast("int")).cast("bigint"))
+    here, cut = F.struct(*_PLACE), F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False))
+    before = F.col("key").isNotNull() & (F.col("edge").isNull() | (F.col("bucket") < F.col("edge")))
+    on_cut = cut & F.coalesce(here.eqNullSafe(F.col("last")), F.lit(False))
+    up_to = before | (cut & F.coalesce(here <= F.col("last"), F.lit(False)))
+    count = lambda taken: (F.coalesce("whole", F.lit(0)) + taken.cast("int")).cast("bigint")
+    if allotments.filter("n_taken < n_last").isEmpty():
+        return rows.withColumn("copies", count(up_to))
+    # Only the rows in the place that is cut are written down; each file's rows are numbered after those of the files before.
+    file, row = F.col("_metadata.file_path").alias("cut_file"), F.col("_metadata.row_index").alias("cut_row")
+    numbered = saved(rows.filter(on_cut), "mix-cut").select("*", file, row)
+    numbered = numbered.withColumn("nth", F.row_number().over(Window.partitionBy("source", "cut_file").orderBy("cut_row")))
+    earlier = Window.partitionBy("source").orderBy("cut_file").rowsBetween(Window.unboundedPreceding, -1)
+    of_file = numbered.groupBy("source", "cut_file").agg(F.count(F.lit(1)).alias("n_file"))
+    of_file = of_file.withColumn("n_before", F.coalesce(F.sum("n_file").over(earlier), F.lit(0)))
+    a, b = numbered.alias("a"), of_file.alias("b")
+    same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.cut_file") == F.col("b.cut_file"))
+    chosen = a.join(b, same).select("a.*", "b.n_before").withColumn("copies", count(F.col("n_before") + F.col("nth") <= F.col("n_taken")))
+    return rows.filter(~on_cut).withColumn("copies", count(up_to)).unionByName(chosen.select(*rows.columns, "copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken)`` per document.
 
     Null texts have size 0; null sources are a source of their own, ordered last. Sources without words have target 0.
-    Rows that repeat an id share its random number, and so are taken alike unless the cut falls between them. Other
-    columns are ignored; an empty table gives no rows.
+    Rows that repeat an id are drawn by their texts as well; rows equal in all of this are taken alike, but where the cut
+    falls among them as many are taken as the target leaves room for. Other columns are ignored; an empty table gives
+    no rows.
     """
     sized = saved(
-        docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size")),
+        docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), draw_of(F.col(id_col).cast("bigint"), F.col(text_col)).alias("draw")),
         "mix-sizes",
     )
     out = copies(sized, allot(sized))

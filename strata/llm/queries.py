@@ -78,9 +78,10 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op9_mix"] = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 13))::BIGINT AS draw FROM documents
 ), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS source_docs FROM sized GROUP BY source
 ), ranked AS (
   SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sources
 ), weighted AS (
@@ -92,7 +93,7 @@ WITH sized AS (
 ), stopped AS (
   SELECT *, weight * ((total - most_before) / (weights - weight_before)) >= most AS stops FROM summed
 ), targets AS (
-  SELECT source, source_size, CASE WHEN stops THEN most::DOUBLE ELSE weight * (
+  SELECT source, source_size, source_docs, CASE WHEN stops THEN most::DOUBLE ELSE weight * (
     (total - sum(CASE WHEN stops THEN most ELSE 0 END) OVER ()::BIGINT) / sum(CASE WHEN stops THEN 0 ELSE weight END) OVER ()::BIGINT
   ) END AS target FROM stopped
 ), shares AS (
@@ -100,13 +101,14 @@ WITH sized AS (
 ), parts AS (
   SELECT *, floor(times) AS whole, times - floor(times) AS part, target - floor(times) * source_size AS rest FROM shares
 ), drawn AS (
-  SELECT doc_id, sized.source, size, source_size, target, whole, part, rest,
-    (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  SELECT doc_id, sized.source, size, draw, source_size, target, whole, part, rest,
+    (draw + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u,
+    sqrt(greatest(size, 1)::DOUBLE / (source_size::DOUBLE / source_docs::DOUBLE)) AS lift
   FROM sized JOIN parts ON sized.source IS NOT DISTINCT FROM parts.source
 ), keyed AS (
-  SELECT *, CASE WHEN part > 0 AND part < 1 THEN (u / (1 - u)) / (part / (1 - part)) END AS key FROM drawn
+  SELECT *, CASE WHEN part > 0 AND part < 1 THEN (u / (1 - u)) / ((part / (1 - part)) * lift) END AS key FROM drawn
 ), ordered AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM keyed
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size, draw ROWS UNBOUNDED PRECEDING) AS upto FROM keyed
 )
 SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN key IS NOT NULL AND upto - size / 2 < rest THEN 1 ELSE 0 END))::BIGINT AS taken

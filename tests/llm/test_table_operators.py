@@ -220,6 +220,40 @@ def test_mix_cut_on_the_target(spark):
     assert taken == {"a": 100, "b": 200}
 
 
+def mixed(spark, docs):
+    got = mix.mix(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()
+    taken: dict = defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+    assert len(got) == len(docs) and all(0 <= r.taken <= 3 * r.size for r in got)
+    return taken, {r.source: r.target for r in got}
+
+
+@pytest.mark.parametrize("name", [7, None])
+@pytest.mark.parametrize("texts", [1, 4, 30])
+def test_mix_rows_that_share_an_id(spark, name, texts):
+    """Rows of one id, or of none, with one text, a few or one each: the target is met within a document."""
+    docs = [(name, f"t{i % texts} " * 10, "abc"[i % 3] if i % 5 else None) for i in range(90)]
+    taken, want = mixed(spark, docs)
+    assert all(abs(taken[s] - want[s]) <= 10 for s in want)
+
+
+def test_mix_equal_rows_over_many_files(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a b").alias("text"), F.when(F.col("id") % 3 > 0, "hot").otherwise("x").alias("source"))
+    got = mix.mix(docs.repartition(7))
+    sums = {r.source: r for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n")).collect()}
+    assert all(abs(r.taken - r.target) <= 2 for r in sums.values()) and {s: r.n for s, r in sums.items()} == {"hot": 2000, "x": 1000}
+
+
+def test_mix_odds_grow_with_the_root_of_the_size(spark):
+    """A source of which a part is taken: the odds of long documents over those of short ones, near the root of the sizes' ratio."""
+    docs = [(i, "w " * (4 if i % 2 else 64), "b" if i < 20_000 else "a") for i in range(24_000)]
+    got = mix.mix(spark.createDataFrame(docs, "doc_id bigint, text string, source string"))
+    shares = {r["size"]: r.share for r in got.filter("source = 'b'").groupBy("size").agg(F.avg(F.col("copies") - F.floor(F.col("target") / F.col("source_size"))).alias("share")).collect()}
+    odds = {size: share / (1 - share) for size, share in shares.items()}
+    assert odds[64] / odds[4] == pytest.approx(4, rel=0.25)
+
+
 def test_url_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     for r in queries.op10_url_filter(spark, SF_DIR).collect():
