@@ -43,8 +43,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many rows of each document as the mix takes copies of it."""
-    sized = saved(docs.select("doc_id", "source", mix.size_of(F.col("text")).alias("size")), "pipeline-sizes")
-    packed = docs.select("doc_id", "source", F.struct("*").alias("document"))
+    figures = [mix.size_of(F.col("text")).alias("size"), mix.draw_of(F.col("doc_id"), F.col("text")).alias("draw")]
+    sized = saved(docs.select("doc_id", "source", *figures), "pipeline-sizes")
+    packed = docs.select("doc_id", "source", *figures, F.struct("*").alias("document"))
     counted = mix.copies(packed, mix.allot(sized)).select("document", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     return counted.select("document.*")
 
