@@ -19,9 +19,10 @@ from strata.operators import (
 )
 from strata.plans import layers, metrics
 from strata.sources import tables
-from strata.streaming import incremental, seen
+from strata.streaming import claims, incremental, seen
 
 __all__ = [
+    "claims",
     "clean",
     "columns",
     "fmt",
