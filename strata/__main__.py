@@ -1,4 +1,4 @@
-"""Command line: ``python -m strata {run,bronze,silver,gold,drain,enqueue,next,peek,report} …``."""
+"""Command line: ``python -m strata {run,bronze,silver,gold,drain,enqueue,next,peek,report,compact} …``."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ import argparse
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from strata import incremental, layers, ledger, preview, quality, report, runs, session, tables
+from strata import incremental, layers, ledger, metrics, preview, quality, report, runs, session, tables
+from strata.plans.config import FlagRule
 
-JOBS = ["run", "bronze", "silver", "gold", "drain", "enqueue", "next", "peek", "report"]
+JOBS = ["run", "bronze", "silver", "gold", "drain", "enqueue", "next", "peek", "report", "compact"]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -24,6 +25,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--malformed", choices=["fail", "keep"], default="fail", help="what to do with malformed rows")
     parser.add_argument("--partition-by", help="column that partitions the gold layer")
     parser.add_argument("--key", help="column whose nulls are counted")
+    parser.add_argument(
+        "--rule", nargs=5, action="append", default=[], metavar=("COLUMN", "TARGET", "VALUE", "MATCH", "OTHER"),
+        help="rule of the gold layer, in place of the default ones; may be repeated",
+    )
     parser.add_argument("--pipeline", default="scheduled", help="pipeline whose queue enqueue and next work on")
     parser.add_argument("--files", nargs="*", default=[], help="names to enqueue, in order")
     args = parser.parse_args(argv)
@@ -35,6 +40,8 @@ def main(argv: list[str] | None = None) -> None:
         config = replace(config, partition_by=args.partition_by)
     if args.key:
         config = replace(config, key=args.key)
+    if args.rule:
+        config = replace(config, rules=tuple(FlagRule(*rule) for rule in args.rule))
     queue, now = f"{args.root}/queue", datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
     if args.job == "run":
         layers.run(spark, args.source, args.root, args.run_id, config)
@@ -64,6 +71,8 @@ def main(argv: list[str] | None = None) -> None:
         df = tables.read_layer(spark, layers.layer_path(args.root, args.layer))
         preview.peek(df).show()
         quality.null_sums(df, df.columns).show()
+    elif args.job == "compact":
+        metrics.compact(spark, layers.metrics_path(args.root))
     else:
         records = runs.read_metrics(spark, layers.metrics_path(args.root))
         text = report.render(records.where(records.run_id == args.run_id)).first()

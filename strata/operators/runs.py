@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from strata.functions import fmt
 from strata.model import METRICS
-from strata.operators import lookup
+from strata.operators import lookup, positions
+from strata.sources import log, tables
 from strata.sources.tables import union_all
 
 # Order in which the fields of a record are listed.
@@ -45,7 +46,6 @@ RECORD_KEYS = (
 
 # Largest k for which Spark's window group limit works (its default threshold).
 GROUP_LIMIT = 1000
-PARTS = 64
 
 # Texts for a run without a known file.
 QUEUED_FILE = "Queued file"
@@ -55,11 +55,26 @@ _HISTORY = "start_time string, layer string, status string, duration string, _co
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Scan run records ``run_<id>/<layer>.json`` and ``run_id=<id>/layer=<layer>/*.json`` below a root.
+    """Scan the run records below a root, the newest for each run and layer.
 
-    The run id is that of the folder. The schema is fixed, as an empty ``schema``
-    list would otherwise be read as a list of texts.
+    They are read from the log (:mod:`strata.sources.log`) and from folders ``run_<id>/<layer>.json`` and
+    ``run_id=<id>/layer=<layer>/*.json``, which count as older than the log; there the run id is that of the folder.
     """
+    logged = log.entries(spark, root)
+    fs, path = tables.at(spark, root)
+    if logged is not None and not any(status.getPath().getName().startswith("run_") for status in fs.listStatus(path)):
+        return log.newest(logged).select(*METRICS.names)
+    kept = _folder_records(spark, root)
+    if logged is None:
+        return kept.select(*METRICS.names)
+    # Records of folders that name no layer stay apart, each under its own file.
+    kept = kept.withColumn("file", F.when(F.col("layer").isNull(), F.col("file"))).withColumn(log.LOGGED, F.lit(0).cast("bigint"))
+    both = kept.unionByName(logged.withColumn("file", F.lit(None).cast("string")))
+    return log.newest(both, F.col("file")).select(*METRICS.names)
+
+
+def _folder_records(spark: SparkSession, root: str) -> DataFrame:
+    # The schema is fixed, as an empty ``schema`` list would otherwise be read as a list of texts.
     body = T.StructType([f for f in METRICS if f.name != "run_id"])
     path = _unescaped(F.col("_metadata.file_path"))
     keyed = path.contains("/run_id=")
@@ -77,7 +92,7 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
         .json(root)
         .where(F.col("_metadata.file_path").rlike(_RECORD_FILE))
     )
-    return records.withColumns({"run_id": run_id, "layer": layer}).select(*METRICS.names)
+    return records.withColumns({"run_id": run_id, "layer": layer, "file": path}).select(*METRICS.names, "file")
 
 
 def read_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,20 +126,29 @@ def union_runs(runs: Mapping[str, DataFrame]) -> DataFrame:
 def recent(runs: DataFrame, pipelines: Sequence[str], k: int = 6) -> DataFrame:
     """Newest ``k`` runs of each named pipeline in one list, newest first, missing start last.
 
-    Adds the 1-based ``position`` in that list and a ``display_name``. Each task
-    keeps ``k`` rows per pipeline before the shuffle. The list is numbered in one
-    place and holds at most ``k`` rows per named pipeline.
+    Adds the 1-based ``position`` in that list and a ``display_name``. Up to ``GROUP_LIMIT``, each task keeps ``k`` rows
+    per pipeline before the shuffle and the list, of at most ``k`` rows per named pipeline, is numbered in one place.
+    Beyond it, counts by start time leave out older runs before any shuffle, and ranges of the rest are numbered by
+    many tasks.
     """
     newest_first = [F.col("start_date").desc_nulls_last(), F.col("pipeline_id"), F.col("run_id")]
     named = runs.where(F.col("pipeline_id").isin(*pipelines))
     if k > GROUP_LIMIT:
-        # Spark limits no group to so many rows before the shuffle: each part of a pipeline gives its own k first.
-        part = F.pmod(F.xxhash64("run_id"), F.lit(PARTS)).alias("part")
-        named = _first_of(named.withColumn("part", part), ["pipeline_id", "part"], newest_first, k).drop("part")
-    top = _first_of(named, ["pipeline_id"], newest_first, k)
-    merged = top.orderBy(*newest_first).limit(k * len(pipelines))
-    numbered = merged.withColumn("position", F.row_number().over(Window.orderBy(*newest_first)))
-    return numbered.withColumn("display_name", fmt.run_name(F.col("run_id"), F.col("position")))
+        listed = _recent_by_ranges(named, newest_first, k)
+    else:
+        top = _first_of(named, ["pipeline_id"], newest_first, k)
+        merged = top.orderBy(*newest_first).limit(k * len(pipelines))
+        listed = merged.withColumn("position", F.row_number().over(Window.orderBy(*newest_first)))
+    return listed.withColumn("display_name", fmt.run_name(F.col("run_id"), F.col("position")))
+
+
+def _recent_by_ranges(named: DataFrame, newest_first: list[Column], k: int) -> DataFrame:
+    newest = positions.upper_part(named, "pipeline_id", "start_date", k)
+    ranked = positions.numbered(newest, [F.col("pipeline_id"), *newest_first], "rank")
+    starts = ranked.groupBy("pipeline_id").agg(F.min("rank").alias("start"))
+    top = ranked.join(F.broadcast(starts), "pipeline_id").where(F.col("rank") - F.col("start") < k)
+    listed = positions.numbered(top.select(*named.columns), newest_first, "position")
+    return listed.withColumn("position", F.col("position").cast("int"))
 
 
 def _first_of(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.model import METRICS
+from strata.sources import log
 
 
 def observe_counts(df: DataFrame, **counters: Column) -> tuple[DataFrame, Observation]:
@@ -24,24 +23,15 @@ def observe_counts(df: DataFrame, **counters: Column) -> tuple[DataFrame, Observ
 
 
 def record(spark: SparkSession, root: str, run_id: str, layer: str, **fields) -> None:
-    """Write the record of one (run, layer), replacing an earlier one."""
-    body = json.dumps({**fields, "run_id": run_id, "layer": layer})
-    row = spark.range(1, numPartitions=1).select(F.from_json(F.lit(body), METRICS).alias("record"))
-    _write(row.select("record.*"), root)
+    """Log the record of one (run, layer); it replaces earlier ones when read. No Spark job."""
+    log.append(spark, root, {**fields, "run_id": run_id, "layer": layer})
 
 
 def save(metrics: DataFrame, root: str) -> None:
-    """Write many records, the one that ended last for each (run, layer), replacing earlier ones."""
-    whole = F.struct(*METRICS.names)
-    ended = F.coalesce(F.col("end_time"), F.lit(""))
-    latest = metrics.groupBy("run_id", "layer").agg(F.max_by(whole, ended).alias("record"))
-    _write(latest.select("record.*"), root)
-
-
-def _write(records: DataFrame, root: str) -> None:
-    (
-        records.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "layer")
-        .json(root)
-    )
+    """Log many records at once; when read, the one that ended last for each (run, layer) replaces earlier ones."""
+    log.append_many(metrics, root)
+
+
+def compact(spark: SparkSession, root: str) -> int:
+    """Gather the log's newest records in few files; returns how many files and folders that replaces."""
+    return log.compact(spark, root)

@@ -46,6 +46,11 @@ def recent_runs_of_one(spark, sf_dir):
     return runs.recent(derived(spark, sf_dir, RUNS), ["purchase"], k=10)
 
 
+@query(_recent_sql("'click', 'purchase', 'error'", 1500))
+def recent_runs_deep(spark, sf_dir):
+    return runs.recent(derived(spark, sf_dir, RUNS), ["click", "purchase", "error"], k=1500)
+
+
 @query("""
 SELECT event_id AS run_id, event_type AS state, 'event_driven' AS pipeline_id FROM events
 UNION ALL SELECT o_orderkey, o_orderstatus, 'scheduled' FROM orders
@@ -114,6 +119,21 @@ def read_metrics(spark, sf_dir):
     return _saved(spark, sf_dir).select(*_SAVED.split(", "))
 
 
+@query(f"""
+SELECT run_id, layer, source, input_rows, output_rows, rows_before, rows_after, status,
+       CASE WHEN layer = 'Gold' THEN 'again' ELSE duration END AS duration, exception
+FROM {_METRICS}
+""")
+def records_replaced(spark, sf_dir):
+    """A record per customer and layer, logged in bulk, one layer logged again, and the log compacted."""
+    root = scratch_path(spark, "metadata")
+    found = tables.conform(derived(spark, sf_dir, METRICS), METRICS_SCHEMA)
+    metrics.save(found, root)
+    metrics.save(found.where("layer = 'Gold'").withColumn("duration", F.lit("again")), root)
+    metrics.compact(spark, root)
+    return runs.read_metrics(spark, root).select(*_SAVED.split(", "))
+
+
 @query(f"SELECT DISTINCT run_id FROM {_MONTHLY}")
 def list_runs(spark, sf_dir):
     return runs.list_runs(_saved(spark, sf_dir))

@@ -281,3 +281,15 @@ def test_json_source_with_nested_values(spark, root, tmp_path):
     assert rows[0] == (None, "unknown") and rows[1][0]["c"] == [1, 2] and len(rows) == 2
     got = records(spark, root)["Silver"]
     assert (got["nulls_filled"], got["nulls_filled_exact"]) == (4, 3)
+
+
+def test_command_line_rules_and_compaction(spark, root, passengers):
+    rule = ["--rule", "Sex", "Female", "female", "yes", "no", "--rule", "Survived", "Alive", "1", "alive", "dead"]
+    cli.main(["run", "--root", root, "--source", passengers, "--run-id", "r1", *rule])
+    gold = tables.read_layer(spark, layers.layer_path(root, "gold"))
+    assert "SurvivalStatus" not in gold.columns
+    assert {(r["Sex"], r["Female"]) for r in gold.collect()} == {("female", "yes"), ("male", "no")}
+    assert {(r["Survived"], r["Alive"]) for r in gold.collect()} == {(1, "alive"), (0, "dead")}
+    before = sorted(map(repr, records(spark, root).items()))
+    cli.main(["compact", "--root", root])
+    assert sorted(map(repr, records(spark, root).items())) == before and len(before) == 3
