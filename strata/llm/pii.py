@@ -3,9 +3,11 @@
 All in DataFrame functions. Base kinds are patterns with checks. Beside them, generators of high recall propose
 overlapping spans, each described by a few small integers: its format and the words around it. The spans of all
 documents are counted by these features, apart for training and calibration documents, together with how many of
-them hold a base span. On this table, whose size the features bound, gradient-boosted trees are fitted; they go back
-to Spark as conditional expressions. Per generator the lowest score is chosen above which enough of the calibration
-spans are right, and what lies above it is selected where no base span stands.
+them are right: those that touch a base span, and those that spell a value otherwise which is a base span elsewhere
+in the documents (a phone number without its plus, a card number with dots). On this table, whose size the features
+bound, gradient-boosted trees are fitted; they go back to Spark as conditional expressions. Only spans that touch no
+base span can be selected, so those alone calibrate: per generator the lowest score is chosen above which enough of
+them are right. Of the overlapping spans above it the one of the highest score is selected.
 """
 
 from __future__ import annotations
@@ -104,6 +106,17 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def value_of(kind: str, hit: Column) -> Column:
+    """A hash of what a span says however it is spelled: its digits, the parts of an address, the letters of a mail address."""
+    if kind in ("email", "maybe_mail"):
+        said = F.regexp_replace(F.regexp_replace(F.lower(hit), r"[\[({]dot[\])}]", ""), "[^a-z0-9@]", "")
+    elif kind in ("ip", "maybe_address"):
+        said = F.regexp_replace(F.lower(hit), "[^0-9a-f]+", ".")
+    else:
+        said = digits_of(hit)
+    return F.xxhash64(said)
+
+
 def _level(value: Column, *bounds: int) -> Column:
     """How many of the ascending bounds a value reaches."""
     out = F.lit(0)
@@ -115,13 +128,14 @@ def _level(value: Column, *bounds: int) -> Column:
 def candidates(text: Column) -> dict[str, Column]:
     """For each generator its spans with their features."""
 
-    def described(span: Column) -> Column:
+    def described(kind: str, span: Column) -> Column:
         hit = span["hit"]
         removed = lambda chars: F.length(hit) - F.length(F.regexp_replace(hit, chars, ""))
         before, after = F.lower(span["before"]), span["after"]
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
+            value_of(kind, hit).alias("value"),
             _level(removed("[0-9]"), 1, 7, 9, 13, 16, 17).alias("digits"),
             _level(removed("[A-Za-z]"), 1, 8).alias("letters"),
             _level(removed(r"\."), 1, 2, 3, 4).alias("dots"),
@@ -133,8 +147,11 @@ def candidates(text: Column) -> dict[str, Column]:
             F.coalesce(after.rlike("[A-Za-z0-9_]") | before.rlike("[A-Za-z0-9_]$"), F.lit(False)).cast("tinyint").alias("glued"),
         )
 
+    def of(kind: str) -> Callable[[Column], Column]:
+        return lambda span: described(kind, span)
+
     worth = {"maybe_mail": F.instr(text, "@") > 0, "maybe_number": text.rlike("[0-9]{2}"), "maybe_address": text.rlike("[0-9][.:][0-9A-Fa-f]")}
-    return {name: F.transform(matches(text, pattern, worth[name]), described) for name, pattern in GENERATORS.items()}
+    return {name: F.transform(matches(text, pattern, worth[name]), of(name)) for name, pattern in GENERATORS.items()}
 
 
 @dataclass(frozen=True)
@@ -201,7 +218,7 @@ class Model:
 
 
 def fit(cells: list[Row]) -> Model:
-    """``cells``: generator, the features, ``held`` (for calibration), ``n`` spans and ``right`` of them."""
+    """``cells``: generator, the features, ``held`` (for calibration), ``touches``, ``n`` spans and ``right`` of them."""
     train = [(c.asDict(), c["n"], c["right"]) for c in cells if not c["held"]]
     n, right = sum(x[1] for x in train), sum(x[2] for x in train)
     start = math.log((right + 0.5) / (n - right + 0.5))
@@ -215,7 +232,7 @@ def fit(cells: list[Row]) -> Model:
     model = Model(start, tuple(trees), {})
     thresholds: dict[str, float | None] = {}
     for name in GENERATORS:
-        scored = sorted(((model.score(c.asDict()), c["n"], c["right"]) for c in cells if c["held"] and c["generator"] == name), reverse=True)
+        scored = sorted(((model.score(c.asDict()), c["n"], c["right"]) for c in cells if c["held"] and not c["touches"] and c["generator"] == name), reverse=True)
         total = good = 0
         thresholds[name] = None
         for k, (value, m, r) in enumerate(scored):
@@ -231,50 +248,74 @@ def _meets(span: Column, others: Column) -> Column:
 
 
 def _cell(generator: str) -> Callable[[Column], Column]:
-    """A span of the generator with its features and whether it holds a base span."""
-    return lambda x: F.struct(
-        F.lit(generator).alias("generator"), _meets(x, F.col("base")).cast("bigint").alias("right"), *(x[f].alias(f) for f in FEATURES)
+    """A span of the generator with its features, whether it touches a base span, and its value where it does not."""
+
+    def cell(x: Column) -> Column:
+        touches = _meets(x, F.col("base"))
+        return F.struct(
+            F.lit(generator).alias("generator"), touches.alias("touches"), F.when(~touches, x["value"]).alias("value"), *(x[f].alias(f) for f in FEATURES)
+        )
+
+    return cell
+
+
+def _cells(found: DataFrame) -> list[Row]:
+    """Spans and right ones per generator and features; equal values of equal features meet the known ones as one row."""
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    spans = found.select(held.alias("held"), F.inline(F.concat(*(F.transform(name, _cell(name)) for name in GENERATORS))))
+    of = ["held", "generator", "touches", *FEATURES]
+    counted = spans.groupBy("value", *of).agg(F.count("*").alias("n"))
+    known = found.select(F.explode(F.transform("base", lambda x: x["value"])).alias("value")).distinct().withColumn("known", F.lit(True))
+    right = F.when(F.col("touches") | F.col("known").isNotNull(), F.col("n")).otherwise(0)
+    return counted.join(known, "value", "left").groupBy(*of).agg(F.sum("n").alias("n"), F.sum(right).alias("right")).orderBy(*of).collect()
+
+
+def _proposed(model: Model, name: str, threshold: float) -> Column:
+    """The spans of a generator above its threshold that touch no base span, with minus their score first."""
+    scored = F.transform(
+        name, lambda x: F.struct((-model.column(x)).alias("rank"), x["start"].alias("start"), x["end"].alias("end"), F.lit(name).alias("generator"))
     )
+    return F.filter(scored, lambda x: (x["rank"] <= F.lit(1e-9 - threshold)) & ~_meets(x, F.col("base")))
 
 
-def _chosen(model: Model, threshold: float) -> Callable[[Column], Column]:
-    return lambda x: (model.column(x) >= F.lit(threshold - 1e-9)) & ~_meets(x, F.col("base"))
+def _best(proposed: Column) -> Column:
+    """Of overlapping proposals the one of the highest score, then the first, then the shortest."""
+    none = F.array().cast("array<struct<rank:double,start:int,end:int,generator:string>>")
+    return F.aggregate(F.array_sort(proposed), none, lambda out, x: F.when(_meets(x, out), out).otherwise(F.concat(out, F.array(x))))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, an array of spans per base kind and per generator, each ``(start, end)`` in code points.
 
-    Generator spans are those that the model selects; they touch no base span and, within a generator, nothing else.
+    Generator spans are those that the model selects; they touch no base span and no other selected one.
     A null text counts as empty and has no spans. Without any candidate nothing is selected. Rows that repeat an id
     are read each; other columns are ignored.
     """
     text = F.col("text")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    plain = lambda spans: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+    def valued(kind: str) -> Callable[[Column], Column]:
+        return lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), value_of(kind, x["hit"]).alias("value"))
+
     found = saved(
         rows.select(
             "doc_id",
-            *(plain(spans).alias(kind) for kind, spans in base_spans(text).items()),
+            *(F.transform(spans, valued(kind)).alias(kind) for kind, spans in base_spans(text).items()),
             *(spans.alias(name) for name, spans in candidates(text).items()),
         ),
         "pii-spans",
-    )
-    base = F.concat(*KINDS)
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
-    every = [F.transform(name, _cell(name)) for name in GENERATORS]
-    cells = (
-        found.withColumn("base", base).select(held.alias("held"), F.inline(F.concat(*every)))
-        .groupBy("held", "generator", *FEATURES).agg(F.count("*").alias("n"), F.sum("right").alias("right"))
-        .orderBy("held", "generator", *FEATURES).collect()
-    )
-    model = fit(cells)
-    selected = []
-    for name, threshold in model.thresholds.items():
-        if threshold is None:
-            selected.append(F.array().cast("array<struct<start:int,end:int>>").alias(name))
-            continue
-        selected.append(plain(F.filter(name, _chosen(model, threshold))).alias(name))
-    return found.withColumn("base", base).select("doc_id", *KINDS, *selected)
+    ).withColumn("base", F.concat(*KINDS))
+    model = fit(_cells(found))
+    proposed = [_proposed(model, name, threshold) for name, threshold in model.thresholds.items() if threshold is not None]
+    place = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))
+    out = found.withColumn("best", _best(F.concat(*proposed))) if proposed else found
+
+    def selected(name: str) -> Column:
+        if model.thresholds[name] is None:
+            return F.array().cast("array<struct<start:int,end:int>>")
+        return F.array_sort(F.transform(F.filter("best", lambda x: x["generator"] == name), place))
+
+    return out.select("doc_id", *(F.transform(kind, place).alias(kind) for kind in KINDS), *(selected(name).alias(name) for name in GENERATORS))
 
 
 def listed(*kinds: str) -> Column:
